@@ -1,0 +1,19 @@
+"""All column counts of a table at once."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from catalogflow.operators.profiling import (
+    column_summary, distinct_counts, empty_counts, null_counts,
+)
+
+
+def profile(frame: DataFrame, approximate: bool = False) -> DataFrame:
+    """column, type, non_null, nulls, empty, distinct_values."""
+    return (
+        column_summary(frame)
+        .join(null_counts(frame), "column")
+        .join(empty_counts(frame), "column")
+        .join(distinct_counts(frame, approximate), "column")
+    )
