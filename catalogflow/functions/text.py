@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,13 +38,15 @@ def title_year(title: Column) -> Column:
     return F.regexp_extract(title, YEAR_PATTERN, 1).try_cast("int")
 
 
-def tokens(text: Column) -> Column:
-    """Lower-cased words between runs of whitespace."""
-    return F.split(F.lower(text), WHITESPACE_CLASS + "+")
+def _cut_at_blanks(text: Column) -> Column:
+    """Lower-cased words; runs of whitespace leave empty entries between them."""
+    blanked = F.translate(F.lower(text), WHITESPACE, " " * len(WHITESPACE))
+    return F.split(blanked, " ")
 
 
-def _any_in(text: Column, words: Iterable[str]) -> Column:
-    return reduce(or_, [F.contains(text, F.lit(w)) for w in words])
+def tokens(text: Column) -> Column:
+    """Lower-cased words between runs of whitespace."""
+    return F.array_remove(_cut_at_blanks(text), "")
 
 
 def sentiment(
@@ -56,21 +56,17 @@ def sentiment(
 ) -> Column:
     """``positive`` / ``negative`` when only that list has a whole-token hit.
 
-    Both or neither give ``neutral``; null text gives null. Words must be lower case
-    and free of whitespace. A word is a token of the text exactly when it occurs
-    between blanks once all whitespace is mapped to blanks, so byte search replaces
-    building token arrays; texts without any of the words skip even the mapping.
+    Both or neither give ``neutral``; null text gives null. Words must be lower case.
     """
-    positive, negative = tuple(positive), tuple(negative)
-    lowered = F.lower(text)
-    blanked = F.translate(lowered, WHITESPACE, " " * len(WHITESPACE))
-    padded = F.concat(F.lit(" "), blanked, F.lit(" "))
-    good = _any_in(padded, [f" {w} " for w in positive])
-    bad = _any_in(padded, [f" {w} " for w in negative])
-    return (
-        F.when(text.isNull(), F.lit(None).cast("string"))
-        .when(~_any_in(lowered, positive + negative), "neutral")
-        .when(good & ~bad, "positive")
-        .when(bad & ~good, "negative")
-        .otherwise("neutral")
-    )
+
+    def label(words: Column) -> Column:
+        good = F.arrays_overlap(words, F.array(*[F.lit(w) for w in positive]))
+        bad = F.arrays_overlap(words, F.array(*[F.lit(w) for w in negative]))
+        return (
+            F.when(good & ~bad, "positive").when(bad & ~good, "negative").otherwise("neutral")
+        )
+
+    # The one-entry array binds the words, so that a text is cut once and not once for
+    # every use of the words in the label.
+    labelled = F.transform(F.array(_cut_at_blanks(text)), label)[0]
+    return F.when(text.isNotNull(), labelled)

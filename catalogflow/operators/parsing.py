@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalogflow import schemas
 
@@ -17,60 +18,60 @@ def _payload() -> Column:
     return F.col("value").cast("string")
 
 
-def _converts(column: Column, target: str) -> Column:
-    return column.isNull() | column.try_cast(target).isNotNull()
+def _objects(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """The fields of one JSON object per message, all text, and ``raw``.
+
+    ``inline`` parses each message once. Filters on a plain projection of ``from_json``
+    would be pushed below it and repeat the parsing for every field they mention.
+    """
+    return messages.select(_payload().alias("raw")).select(
+        "raw", F.inline(F.array(F.from_json("raw", schema)))
+    )
 
 
-def _typed(parsed: DataFrame, types: dict[str, str], required: list[str]) -> DataFrame:
-    """Cast ``data.*`` by ``types``; ``required`` fields must be there after the cast."""
-    fields = {c: F.col("data")[c] for c in types}
+def _typed(fields: DataFrame, types: dict[str, str], required: list[str]) -> DataFrame:
+    """Cast text fields; ``required`` ones must be there after the cast."""
     ok = F.lit(True)
     for name, target in types.items():
-        if name in required:
-            ok = ok & fields[name].try_cast(target).isNotNull()
-        else:
-            ok = ok & _converts(fields[name], target)
-    flagged = parsed.withColumn("ok", ok)
-    return flagged.select(
-        *[fields[c].try_cast(t).alias(c) for c, t in types.items()],
-        "ok",
-        F.when(~F.col("ok"), F.col("raw")).alias("raw"),
+        usable = F.col(name).try_cast(target).isNotNull()
+        ok = ok & (usable if name in required else F.col(name).isNull() | usable)
+    return fields.select(
+        *[F.col(c).try_cast(k).alias(c) for c, k in types.items()],
+        ok.alias("ok"),
+        F.when(~ok, F.col("raw")).alias("raw"),
     )
 
 
 def parse_ratings(messages: DataFrame) -> DataFrame:
     """item_id, user_id, rating."""
-    parsed = messages.select(
-        F.from_json(_payload(), schemas.RATING_MESSAGE).alias("data"), _payload().alias("raw")
-    )
     types = {"item_id": "bigint", "user_id": "bigint", "rating": "double"}
-    return _typed(parsed, types, ["item_id"])
+    return _typed(_objects(messages, schemas.RATING_MESSAGE), types, ["item_id"])
 
 
 def parse_reviews(messages: DataFrame) -> DataFrame:
     """item_id, txt."""
-    parsed = messages.select(
-        F.from_json(_payload(), schemas.REVIEW_MESSAGE).alias("data"), _payload().alias("raw")
-    )
-    return _typed(parsed, {"item_id": "bigint", "txt": "string"}, ["item_id", "txt"])
+    types = {"item_id": "bigint", "txt": "string"}
+    return _typed(_objects(messages, schemas.REVIEW_MESSAGE), types, ["item_id", "txt"])
 
 
 def parse_movies(messages: DataFrame) -> DataFrame:
-    """One row per object of the message's array; absent counters become 0."""
-    arrays = messages.select(
-        F.from_json(_payload(), schemas.MOVIE_MESSAGE).alias("all"), _payload().alias("raw")
+    """One row per object of the message's array; absent counters become 0.
+
+    An empty array is a valid message without rows. A text that is no array of objects
+    gives one rejected row.
+    """
+    arrays = messages.select(_payload().alias("raw")).select(
+        "raw", F.inline(F.array(F.struct(F.from_json("raw", schemas.MOVIE_MESSAGE).alias("all"))))
     )
-    # An empty array is a valid message without rows; a null one is malformed.
     objects = arrays.filter(F.col("all").isNull() | (F.size("all") > 0)).select(
-        F.explode_outer("all").alias("data"), "raw"
-    )
-    parsed = objects.select(
-        "data", F.coalesce(F.to_json("data"), F.col("raw")).alias("raw")
+        "raw", F.explode_outer("all").alias("one")
     )
+    # A bad object is kept by itself, so that its neighbours are not sent twice.
+    fields = objects.select("one.*", F.coalesce(F.to_json("one"), F.col("raw")).alias("raw"))
     counters = ["positive_reviews", "negative_reviews", "neutral_reviews"]
     types = {c: "string" for c in schemas.MOVIE_FIELDS} | {"item_id": "bigint"}
     types |= {c: "bigint" for c in counters}
-    rows = _typed(parsed, types, ["item_id", "title"])
+    rows = _typed(fields, types, ["item_id", "title"])
     return rows.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in counters})
 
 

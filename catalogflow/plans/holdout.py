@@ -41,7 +41,7 @@ def holdout(
         stream = {t: f.filter(chosen) for t, f in tables.items()}
         db = {t: f.filter(~chosen) for t, f in tables.items()}
     else:
-        keys = sample_rows(movies, n, key, seed).select(key)
+        keys = sample_rows(movies.select(key), n, key, seed)
         stream = {t: with_keys(f, keys, key) for t, f in tables.items()}
         db = {t: without_keys(f, keys, key) for t, f in tables.items()}
     stream["movies"] = stream["movies"].withColumns({c: F.lit(0).cast("bigint") for c in COUNTERS})

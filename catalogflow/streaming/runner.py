@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 ONCE = "once"
@@ -37,14 +37,15 @@ def run_stream(
     return writer.foreachBatch(process).start()
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Wait until all queries have ended; if one fails, stop the rest and raise its error."""
+def await_all(queries: list[StreamingQuery], poll_seconds: int = 1) -> None:
+    """Wait until all queries have ended; if one fails, stop the rest and raise its error.
+
+    Only the given queries are watched, so others of the session do not matter.
+    """
+    waiting = list(queries)
     try:
-        while any(q.isActive for q in queries):
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
-        for query in queries:
-            query.awaitTermination()
+        while waiting:
+            waiting = [q for q in waiting if not q.awaitTermination(poll_seconds)]
     finally:
         for query in queries:
             if query.isActive:
