@@ -23,10 +23,13 @@ def sample_rows(frame: DataFrame, n: int, key: str, seed: int = SEED) -> DataFra
     A small sample is a top-n, merged from at most ``n`` rows per task. A larger one
     would gather too much in that merge and is cut from a distributed order instead.
     """
+    rest = [c for c in frame.columns if c != key]
     if n <= TOP_N_LIMIT:
-        rest = [c for c in frame.columns if c != key]
         return frame.orderBy(draw(key, seed), key, *rest).limit(n)
-    return first_in_order(frame.withColumn("_draw", draw(key, seed)), n, "_draw", key).drop("_draw")
+    # The leading 60 bits of the draw order rows as its text does, and as a number.
+    leading = F.conv(F.substring(draw(key, seed), 1, 15), 16, 10).cast("bigint")
+    drawn = frame.select(leading.alias("_lead"), draw(key, seed).alias("_draw"), "*")
+    return first_in_order(drawn, n, "_lead", "_draw", key, *rest).select(*frame.columns)
 
 
 def in_fraction(key: str, fraction: float, seed: int = SEED) -> Column:

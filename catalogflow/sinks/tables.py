@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalogflow.sources.files import read_table
 from catalogflow.sources.jdbc import jdbc_options
 
 
@@ -26,6 +27,33 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
     empty.write.mode("ignore").parquet(f"{table}/batch_id=-1")
 
 
+def compact(
+    spark: SparkSession,
+    table: str,
+    target: str,
+    schema: T.StructType,
+    through: int,
+    combine: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """Copy the batches up to ``through`` into one batch of another table.
+
+    ``combine`` may shrink additive totals on the way. The source is left as it is, so a
+    running job and its readers are not disturbed; readers then take the compacted table
+    and the source's batches after ``through`` (``read_compacted``).
+    """
+    old = read_table(spark, table, schema).filter(F.col("batch_id") <= through)
+    rows = old.drop("batch_id")
+    append_batch(combine(rows) if combine else rows, target, through)
+
+
+def read_compacted(
+    spark: SparkSession, table: str, target: str, schema: T.StructType, through: int
+) -> DataFrame:
+    """All batches: those up to ``through`` from ``target``, later ones from ``table``."""
+    done = read_table(spark, target, schema).filter(F.col("batch_id") == through)
+    return done.unionByName(read_table(spark, table, schema, since=through + 1))
+
+
 def _with_types(frame: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return frame.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
 

@@ -9,8 +9,9 @@ totals (``plans.movie_snapshot``), whatever the order in which batches arrived.
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,13 +48,12 @@ class Tables:
             "reviews": schemas.REVIEWS,
             "rating_totals": schemas.RATING_TOTALS,
             "review_totals": schemas.REVIEW_TOTALS,
+            "unmatched": schemas.UNMATCHED,
         }
         if name in fixed:
             return fixed[name]
         if name.startswith("quarantine_"):
             return schemas.QUARANTINE
-        if name.startswith("unmatched_"):
-            return schemas.UNMATCHED
         return schemas.bridge(schemas.LISTS[name.removeprefix("movies_")][2])
 
     def create(self, spark: SparkSession, *names: str) -> None:
@@ -144,26 +144,28 @@ def movies_job(
     one are seen. It returns the id and name columns of ``schemas.LISTS``.
     """
     bridges = [f"movies_{n}" for n in schemas.LISTS]
-    misses = [f"unmatched_{n}" for n in schemas.LISTS]
-    tables.create(messages.sparkSession, "movies", "quarantine_movies", *bridges, *misses)
+    tables.create(messages.sparkSession, "movies", "unmatched", "quarantine_movies", *bridges)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        with _kept(batch):
+        with ExitStack() as kept:
+            kept.enter_context(_kept(batch))
             good = batch.filter("ok")
             films = good.withColumn("year", title_year(F.col("title")))
             tables.append(films.withColumn("avgRating", F.lit(0.0)), "movies", batch_id)
+            missing = []
             for listed, (column, kind, id_name, name) in schemas.LISTS.items():
                 names = list_names(good, column, kind, name)
                 # Only the entries this batch needs: a large dimension is scanned once
                 # and never shuffled as long as the batch's names are few.
                 needed = with_keys(dimensions(listed).select(id_name, name), names, name)
-                with _kept(needed) as known:
-                    found = lookup(names, known, name, id_name)
-                    tables.append(found, f"movies_{listed}", batch_id)
-                    missing = unmatched(names, known, name).select(
+                known = kept.enter_context(_kept(needed))
+                tables.append(lookup(names, known, name, id_name), f"movies_{listed}", batch_id)
+                missing.append(
+                    unmatched(names, known, name).select(
                         F.lit(listed).alias("kind"), F.col(name).alias("name"), "item_id"
                     )
-                    tables.append(missing, f"unmatched_{listed}", batch_id)
+                )
+            tables.append(reduce(DataFrame.unionByName, missing), "unmatched", batch_id)
             _quarantine(tables, batch, "movies", batch_id)
 
     return run_stream(stamped(parse_movies(messages)), process, checkpoint, trigger)

@@ -5,6 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from catalogflow import schemas, sinks, sources
+from catalogflow.operators.aggregates import add_review_totals
 from catalogflow.plans import replay, wire_ratings
 from catalogflow.plans.bulkload import load_in_parts, prepare_movies, prepare_reviews
 from catalogflow.sources import jdbc_options, kafka_options
@@ -28,6 +29,20 @@ def test_table_without_batches_can_be_read(spark, tmp_path):
     assert sources.read_table(spark, table, schemas.RATINGS).count() == 0
 
 
+def test_compacting_keeps_the_totals(spark, rows, tmp_path):
+    table, target = str(tmp_path / "t"), str(tmp_path / "c")
+    schema = schemas.REVIEW_TOTALS
+    for batch_id in range(4):
+        batch = spark.createDataFrame([(1, 1, 0, 2), (batch_id, 0, 1, 0)], schema)
+        sinks.append_batch(batch, table, batch_id)
+    for _ in range(2):
+        sinks.compact(spark, table, target, schema, 2, add_review_totals)
+    both = sinks.read_compacted(spark, table, target, schema, 2)
+    assert rows(both.groupBy("batch_id").count()) == [(2, 3), (3, 2)]
+    whole = sources.read_table(spark, table, schema)
+    assert rows(add_review_totals(both)) == rows(add_review_totals(whole))
+
+
 def test_replace_with_types(spark, tmp_path):
     path = str(tmp_path / "t")
     frame = spark.createDataFrame([(1, "1999")], "a int, year string")
