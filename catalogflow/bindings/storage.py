@@ -13,7 +13,6 @@ from catalogflow.plans import flag_holdout
 from catalogflow.plans.bulkload import (
     bulk_load, capped, load_in_parts, prepare_movies, prepare_reviews,
 )
-from catalogflow.functions import title_year
 from catalogflow.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS
 from catalogflow.session import work_folder
 from catalogflow.sinks import append_batch, create_table, replace_table, split_jsonl, write_jsonl
@@ -121,9 +120,8 @@ _LOADED = "strftime(TIMESTAMP '2024-12-01 12:00:00' - INTERVAL 7 DAY + INTERVAL
     f"positive_reviews, {_LOADED} AS timestamp FROM ({t.MOVIES})"
 )
 def bulk_load_movies(spark, sf):
-    movies = t.movies(spark, sf).withColumn("year", title_year(F.col("title")))
     root = work_folder(spark, "load")
-    bulk_load({"movies": prepare_movies(movies, _as_of())}, root)
+    bulk_load({"movies": prepare_movies(t.movies(spark, sf), _as_of())}, root)
     columns = ["item_id", "title", "year", "avgRating", "positive_reviews", "timestamp"]
     return spark.read.parquet(f"{root}/movies").select(*columns)
 

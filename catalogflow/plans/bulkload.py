@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalogflow.functions import ago_text, sentiment
+from catalogflow.functions import ago_text, sentiment, title_year
 from catalogflow.operators.numbering import first_in_order
 from catalogflow.plans.holdout import COUNTERS
 from catalogflow.sinks import append_rows, create_table, replace_table
@@ -30,9 +30,11 @@ def stamp_loaded(frame: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 
 def prepare_movies(movies: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Movie rows with zero average and zero counters."""
-    zeros = {c: F.lit(0).cast("bigint") for c in COUNTERS}
-    return stamp_loaded(movies.withColumns(zeros | {"avgRating": F.lit(0.0)}), as_of)
+    """Movie rows with zero average and counters, and the title's year unless they have one."""
+    added = {c: F.lit(0).cast("bigint") for c in COUNTERS} | {"avgRating": F.lit(0.0)}
+    if "year" not in movies.columns:
+        added["year"] = title_year(F.col("title"))
+    return stamp_loaded(movies.withColumns(added), as_of)
 
 
 def prepare_reviews(

@@ -107,8 +107,9 @@ def test_loaded_rows_are_seven_days_old(spark):
     row = prepare_reviews(reviews, as_of=as_of).first()
     assert (row["sentiment"], row["timestamp"]) == ("negative", "2024-01-01 07:00:00")
     assert prepare_reviews(reviews, scored=False, as_of=as_of).first()["sentiment"] == "neutral"
-    movie = prepare_movies(reviews.select("item_id"), as_of).first()
-    assert (movie["avgRating"], movie["positive_reviews"]) == (0.0, 0)
+    movies = spark.createDataFrame([(1, "A (1990)")], "item_id bigint, title string")
+    movie = prepare_movies(movies, as_of).first()
+    assert (movie["avgRating"], movie["positive_reviews"], movie["year"]) == (0.0, 0, 1990)
 
 
 def test_connector_options():
