@@ -3,7 +3,7 @@
     python -m catalogflow merge --metadata M.jsonl --catalogue C.csv --links L.csv --out movies
     python -m catalogflow normalize --movies movies --out tables
     python -m catalogflow holdout --movies movies --table ratings=R.jsonl --out split
-    python -m catalogflow load --table movies=split/db/movies --out serving
+    python -m catalogflow load --table movies=split/db/movies --root live
     python -m catalogflow replay --topic ratings --table split/stream/ratings --out topics/ratings
     python -m catalogflow stream --root live --dimensions tables --servers broker:9092
     python -m catalogflow snapshot --root live --out movies_now
@@ -30,8 +30,9 @@ from catalogflow.plans.bulkload import capped, prepare_movies, prepare_reviews,
 from catalogflow.session import build_session
 from catalogflow.sinks import write_jsonl
 from catalogflow.sources import kafka_stream, read_csv, read_jsonl, replay_stream
-from catalogflow.streaming import Tables, await_all, movies_job, ratings_job, reviews_job
+from catalogflow.streaming import await_all, movies_job, ratings_job, reviews_job
 from catalogflow.streaming.runner import INTERVALS, ONCE
+from catalogflow.tables import Tables
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
@@ -80,7 +81,7 @@ def load(spark: SparkSession, args) -> None:
         elif name == "ratings":
             frame = stamp_loaded(frame)
         prepared[name] = frame
-    bulk_load(prepared, args.out)
+    bulk_load(prepared, Tables(args.root))
 
 
 def replay_table(spark: SparkSession, args) -> None:
@@ -143,7 +144,7 @@ def _parser() -> argparse.ArgumentParser:
     sides.add_argument("--films", type=int, default=10)
     sides.add_argument("--fraction", type=float)
     sides.add_argument("--seed", type=int, default=42)
-    loads = command("load", load, "out")
+    loads = command("load", load, "root")
     loads.add_argument("--table", action="append", default=[], help="name=path")
     loads.add_argument("--cap", type=int)
     loads.add_argument("--unscored", action="store_true")

@@ -17,6 +17,7 @@ from catalogflow.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS
 from catalogflow.session import work_folder
 from catalogflow.sinks import append_batch, create_table, replace_table, split_jsonl, write_jsonl
 from catalogflow.sources import first_rows, read_csv, read_jsonl, read_table
+from catalogflow.tables import Tables
 
 
 @query("SELECT * FROM documents")
@@ -120,10 +121,10 @@ _LOADED = "strftime(TIMESTAMP '2024-12-01 12:00:00' - INTERVAL 7 DAY + INTERVAL
     f"positive_reviews, {_LOADED} AS timestamp FROM ({t.MOVIES})"
 )
 def bulk_load_movies(spark, sf):
-    root = work_folder(spark, "load")
-    bulk_load({"movies": prepare_movies(t.movies(spark, sf), _as_of())}, root)
+    tables = Tables(work_folder(spark, "load"))
+    bulk_load({"movies": prepare_movies(t.movies(spark, sf), _as_of())}, tables)
     columns = ["item_id", "title", "year", "avgRating", "positive_reviews", "timestamp"]
-    return spark.read.parquet(f"{root}/movies").select(*columns)
+    return tables.read(spark, "movies").select(*columns)
 
 
 @query(
@@ -131,9 +132,9 @@ def bulk_load_movies(spark, sf):
     f"AS sentiment, {_LOADED} AS timestamp FROM ({t.REVIEWS})"
 )
 def bulk_load_reviews(spark, sf):
-    root = work_folder(spark, "load")
-    bulk_load({"reviews": prepare_reviews(t.reviews(spark, sf), as_of=_as_of())}, root)
-    return spark.read.parquet(f"{root}/reviews").drop("ingest_ts")
+    tables = Tables(work_folder(spark, "load"))
+    bulk_load({"reviews": prepare_reviews(t.reviews(spark, sf), as_of=_as_of())}, tables)
+    return tables.read(spark, "reviews").drop("ingest_ts", "batch_id")
 
 
 @query(

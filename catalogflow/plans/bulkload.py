@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogflow.functions import ago_text, sentiment, title_year
+from catalogflow.operators.aggregates import rating_totals, review_totals
 from catalogflow.operators.numbering import first_in_order
 from catalogflow.plans.holdout import COUNTERS
 from catalogflow.sinks import append_rows, create_table, replace_table
+from catalogflow.tables import SCHEMAS, Tables
 
-# Age given to loaded rows, column types of the movie table, and the
-# number of rows loaded at most when a capped load is asked for.
+# Age given to loaded rows, and the number of rows loaded at most when a
+# capped load is asked for.
 LOADED_DAYS_AGO = 7
-MOVIE_TYPES = {"avgRating": "double", "year": "int"}
 RATINGS_CAP = 1_900_000
 REVIEWS_CAP = 400_000
 
@@ -50,10 +51,21 @@ def capped(frame: DataFrame, cap: int | None, *order: str) -> DataFrame:
     return frame if cap is None else first_in_order(frame, cap, *order)
 
 
-def bulk_load(tables: Mapping[str, DataFrame], root: str) -> None:
-    """Replace each table below ``root``; column types are set on the movie table."""
-    for name, frame in tables.items():
-        replace_table(frame, f"{root}/{name}", MOVIE_TYPES if name == "movies" else None)
+def bulk_load(frames: Mapping[str, DataFrame], tables: Tables) -> None:
+    """Replace each table by the given rows, as one batch ahead of all streamed ones.
+
+    Live tables take their column types from their schema. Ratings and reviews also leave
+    their totals, so later averages and counters cover loaded and streamed rows alike.
+    Other tables, such as dimensions, are replaced as they are.
+    """
+    totals = {"ratings": rating_totals, "reviews": review_totals}
+    for name, frame in frames.items():
+        if name not in SCHEMAS:
+            replace_table(frame, tables.path(name))
+            continue
+        tables.replace(frame, name)
+        if name in totals:
+            tables.replace(totals[name](frame), f"{name.removesuffix('s')}_totals")
 
 
 def load_in_parts(parts: list[DataFrame], table: str) -> None:

@@ -10,12 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import ExitStack, contextmanager
-from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from catalogflow import schemas
@@ -25,48 +23,12 @@ from catalogflow.operators.aggregates import rating_totals, review_totals
 from catalogflow.operators.keys import with_keys
 from catalogflow.operators.parsing import parse_movies, parse_ratings, parse_reviews
 from catalogflow.plans.normalize import list_names, lookup, unmatched
-from catalogflow.sinks import append_batch, create_table
-from catalogflow.sources import read_table
 from catalogflow.streaming.runner import ONCE, run_stream
+from catalogflow.tables import Tables
 
 Dimensions = Callable[[str], DataFrame]
 
 
-@dataclass(frozen=True)
-class Tables:
-    """Locations of the append-only tables below one root folder."""
-
-    root: str
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def schema(self, name: str) -> T.StructType:
-        fixed = {
-            "movies": schemas.MOVIES,
-            "ratings": schemas.RATINGS,
-            "reviews": schemas.REVIEWS,
-            "rating_totals": schemas.RATING_TOTALS,
-            "review_totals": schemas.REVIEW_TOTALS,
-            "unmatched": schemas.UNMATCHED,
-        }
-        if name in fixed:
-            return fixed[name]
-        if name.startswith("quarantine_"):
-            return schemas.QUARANTINE
-        return schemas.bridge(schemas.LISTS[name.removeprefix("movies_")][2])
-
-    def create(self, spark: SparkSession, *names: str) -> None:
-        for name in names:
-            create_table(spark, self.path(name), self.schema(name))
-
-    def read(self, spark: SparkSession, name: str, since: int | None = None) -> DataFrame:
-        return read_table(spark, self.path(name), self.schema(name), since)
-
-    def append(self, frame: DataFrame, name: str, batch_id: int) -> None:
-        append_batch(frame.select(*self.schema(name).names), self.path(name), batch_id)
-
-
 @contextmanager
 def _kept(batch: DataFrame):
     batch.persist()

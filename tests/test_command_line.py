@@ -55,9 +55,9 @@ def test_from_sources_to_snapshot(spark, rows, tmp_path, capsys):
     assert spark.read.json(at("split", "db", "ratings")).count() == 160
 
     tables = [f"{n}={at('split', 'db', n)}" for n in ("movies", "ratings", "reviews")]
-    run("load", *[a for t in tables for a in ("--table", t)], "--cap", 50, "--out", at("serving"))
-    assert spark.read.parquet(at("serving", "ratings")).count() == 50
-    assert spark.read.parquet(at("serving", "reviews")).first()["sentiment"] == "positive"
+    run("load", *[a for t in tables for a in ("--table", t)], "--cap", 50, "--root", at("live"))
+    assert spark.read.parquet(at("live", "ratings")).count() == 50
+    assert spark.read.parquet(at("live", "reviews")).first()["sentiment"] == "positive"
 
     for topic in ("movies", "ratings", "reviews"):
         run("replay", "--topic", topic, "--table", at("split", "stream", topic), "--out",
@@ -67,8 +67,12 @@ def test_from_sources_to_snapshot(spark, rows, tmp_path, capsys):
             "--max-files", 2, "--once")
     run("snapshot", "--root", at("live"), "--out", at("now"))
     now = spark.read.parquet(at("now"))
+    streamed = now.join(spark.read.json(at("split", "stream", "movies")).select("item_id"), "item_id")
     # half stars are cut off on the wire
-    assert [tuple(r) for r in now.select("avgRating", "positive_reviews").collect()] == [(3.0, 3)] * 4
+    assert rows(streamed, "avgRating", "positive_reviews") == [(3.0, 3)] * 4
+    # the capped load reached the ratings of five films, one of its reviews each
+    loaded = now.join(streamed, "item_id", "left_anti")
+    assert loaded.count() == 16 and rows(loaded.filter("avgRating > 0"), "avgRating") == [(3.5,)] * 5
     assert spark.read.parquet(at("live", "movies_genres")).count() == 8
 
     run("profile", "--table", at("merged"), "--approximate")

@@ -8,10 +8,11 @@ from catalogflow.operators.aggregates import average_ratings, rating_totals, rev
 from catalogflow.plans import movie_snapshot
 from catalogflow.sources import replay_stream
 from catalogflow.streaming import (
-    Tables, await_all, movies_job, ratings_job, reviews_job, run_stream, running_averages,
+    await_all, movies_job, ratings_job, reviews_job, run_stream, running_averages,
     running_sentiment,
 )
 from catalogflow.streaming.stateful import current_averages, current_sentiment
+from catalogflow.tables import Tables
 
 
 @pytest.fixture
