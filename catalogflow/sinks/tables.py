@@ -23,8 +23,8 @@ def append_batch(frame: DataFrame, table: str, batch_id: int) -> None:
 
 def create_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
     """An empty append-only table, unless there is one already."""
-    empty = spark.createDataFrame([], schema)
-    empty.write.mode("ignore").parquet(f"{table}/batch_id=-1")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    spark.range(0).select(*nothing).write.mode("ignore").parquet(f"{table}/batch_id=-1")
 
 
 def compact(
