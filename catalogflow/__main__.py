@@ -3,14 +3,15 @@
     python -m catalogflow merge --metadata M.jsonl --catalogue C.csv --links L.csv --out movies
     python -m catalogflow normalize --movies movies --out tables
     python -m catalogflow holdout --movies movies --table ratings=R.jsonl --out split
-    python -m catalogflow load --table movies=split/db/movies --root live
-    python -m catalogflow replay --topic ratings --table split/stream/ratings --out topics/ratings
+    python -m catalogflow load --table movies=split/movies/split=db --root live
+    python -m catalogflow replay --topic ratings --table split/ratings/split=stream --out topics/ratings
     python -m catalogflow stream --root live --dimensions tables --servers broker:9092
     python -m catalogflow snapshot --root live --out movies_now
     python -m catalogflow profile --table movies
 
 Tables are read as CSV, JSON lines or Parquet by the ending of their path, JSON lines
-being the default. With spark-submit the package is given by ``--py-files``.
+being the default. ``--dimensions`` and the snapshot's ``--out`` may be a JDBC URL. With
+spark-submit the package is given by ``--py-files``.
 """
 
 from __future__ import annotations
@@ -24,12 +25,13 @@ from catalogflow import schemas
 from catalogflow.functions import title_year
 from catalogflow.operators.profiling import profile
 from catalogflow.plans import (
-    bulk_load, holdout, link_catalogue, merge_catalogue, movie_snapshot, normalize, replay,
+    bulk_load, flagged_holdout, link_catalogue, merge_catalogue, movie_snapshot, normalize,
+    replay,
 )
 from catalogflow.plans.bulkload import capped, prepare_movies, prepare_reviews, stamp_loaded
 from catalogflow.session import build_session
-from catalogflow.sinks import write_jsonl
-from catalogflow.sources import kafka_stream, read_csv, read_jsonl, replay_stream
+from catalogflow.sinks import replace_jdbc, split_jsonl, write_jsonl
+from catalogflow.sources import kafka_stream, read_csv, read_jdbc, read_jsonl, replay_stream
 from catalogflow.streaming import await_all, movies_job, ratings_job, reviews_job
 from catalogflow.streaming.runner import INTERVALS, ONCE
 from catalogflow.tables import Tables
@@ -63,10 +65,9 @@ def normalize_lists(spark: SparkSession, args) -> None:
 def split(spark: SparkSession, args) -> None:
     how = {"fraction": args.fraction} if args.fraction is not None else {"n": args.films}
     tables = _named(spark, args.table)
-    sides = holdout(_read(spark, args.movies), tables, seed=args.seed, **how)
-    for side, frames in (("stream", sides.stream), ("db", sides.db)):
-        for name, frame in frames.items():
-            write_jsonl(frame, f"{args.out}/{side}/{name}")
+    flagged = flagged_holdout(_read(spark, args.movies), tables, seed=args.seed, **how)
+    for name, frame in flagged.items():
+        split_jsonl(frame, "split", f"{args.out}/{name}")
 
 
 def load(spark: SparkSession, args) -> None:
@@ -98,6 +99,8 @@ def stream(spark: SparkSession, args) -> None:
 
     def dimension(listed: str) -> DataFrame:
         _, _, id_name, name = schemas.LISTS[listed]
+        if args.dimensions.startswith("jdbc:"):
+            return read_jdbc(spark, url=args.dimensions, table=listed)
         shape = schemas.dimension(id_name, name)
         return read_jsonl(spark, f"{args.dimensions}/{listed}", shape)
 
@@ -117,7 +120,11 @@ def snapshot(spark: SparkSession, args) -> None:
     tables = Tables(args.root)
     movies = tables.read(spark, "movies").drop("batch_id")
     totals = (tables.read(spark, f"{kind}_totals") for kind in ("rating", "review"))
-    movie_snapshot(movies, *totals).write.mode("overwrite").parquet(args.out)
+    current = movie_snapshot(movies, *totals)
+    if args.out.startswith("jdbc:"):
+        replace_jdbc(current, args.out, "movies")
+    else:
+        current.write.mode("overwrite").parquet(args.out)
 
 
 def show_profile(spark: SparkSession, args) -> None:

@@ -22,7 +22,7 @@ from catalogflow.tables import Tables
 def _messages(spark, topic, frame):
     """The table as a stream of about four micro-batches."""
     path = work_folder(spark, f"topic-{topic}")
-    replay(topic, frame, path)
+    replay(topic, frame, path, per_file=frame.count() // 4 + 1)
     files = len(spark.read.text(path).inputFiles())
     return replay_stream(spark, path, max_files=files // 4 + 1)
 

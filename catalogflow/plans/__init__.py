@@ -1,7 +1,7 @@
 """Composites: what a user of the package calls."""
 
 from catalogflow.plans.bulkload import bulk_load, stamp_loaded
-from catalogflow.plans.holdout import flag_holdout, holdout
+from catalogflow.plans.holdout import flag_holdout, flagged_holdout, holdout
 from catalogflow.plans.merge import link_catalogue, merge_catalogue
 from catalogflow.plans.normalize import bridge_rows, list_names, lookup, normalize, unmatched
 from catalogflow.operators.profiling import profile
@@ -10,7 +10,7 @@ from catalogflow.plans.serving import rated_movies, recent_rows
 from catalogflow.plans.snapshot import movie_snapshot
 
 __all__ = [
-    "bulk_load", "stamp_loaded", "flag_holdout", "holdout", "link_catalogue",
+    "bulk_load", "stamp_loaded", "flag_holdout", "flagged_holdout", "holdout", "link_catalogue",
     "merge_catalogue", "bridge_rows", "list_names", "lookup", "normalize", "unmatched",
     "profile", "replay", "wire_ratings", "rated_movies", "recent_rows", "movie_snapshot",
 ]

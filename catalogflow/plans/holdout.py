@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogflow.operators.keys import with_keys, without_keys
@@ -51,9 +51,25 @@ def holdout(
 def flag_holdout(frame: DataFrame, keys: DataFrame, key: str = "item_id") -> DataFrame:
     """Add ``split`` (``stream`` or ``db``), so one pass can write both sides."""
     marked = keys.select(key).distinct().withColumn("_held", F.lit(True))
-    held = F.coalesce(F.col("_held"), F.lit(False))
-    return (
-        frame.join(marked, key, "left")
-        .withColumn("split", F.when(held, "stream").otherwise("db"))
-        .drop("_held")
-    )
+    return _named(frame.join(marked, key, "left"), F.col("_held")).drop("_held")
+
+
+def _named(frame: DataFrame, held: Column) -> DataFrame:
+    return frame.withColumn("split", F.when(held, "stream").otherwise("db"))
+
+
+def flagged_holdout(
+    movies: DataFrame,
+    dependents: Mapping[str, DataFrame],
+    n: int | None = HELD_OUT,
+    fraction: float | None = None,
+    seed: int = SEED,
+    key: str = "item_id",
+) -> dict[str, DataFrame]:
+    """The split of ``holdout`` as a ``split`` column: each table is read once for both sides."""
+    movies = movies.withColumns({c: F.lit(0).cast("bigint") for c in COUNTERS})
+    tables = {"movies": movies, **dependents}
+    if fraction is not None:
+        return {t: _named(f, in_fraction(key, fraction, seed)) for t, f in tables.items()}
+    keys = sample_rows(movies.select(key), n, key, seed)
+    return {t: flag_holdout(f, keys, key) for t, f in tables.items()}

@@ -51,23 +51,23 @@ def test_from_sources_to_snapshot(spark, rows, tmp_path, capsys):
 
     run("holdout", "--movies", at("merged"), "--table", f"ratings={ratings}", "--table",
         f"reviews={reviews}", "--films", 4, "--out", at("split"))
-    assert spark.read.json(at("split", "stream", "ratings")).count() == 40
-    assert spark.read.json(at("split", "db", "ratings")).count() == 160
+    assert spark.read.json(at("split", "ratings", "split=stream")).count() == 40
+    assert spark.read.json(at("split", "ratings", "split=db")).count() == 160
 
-    tables = [f"{n}={at('split', 'db', n)}" for n in ("movies", "ratings", "reviews")]
+    tables = [f"{n}={at('split', n, 'split=db')}" for n in ("movies", "ratings", "reviews")]
     run("load", *[a for t in tables for a in ("--table", t)], "--cap", 50, "--root", at("live"))
     assert spark.read.parquet(at("live", "ratings")).count() == 50
     assert spark.read.parquet(at("live", "reviews")).first()["sentiment"] == "positive"
 
     for topic in ("movies", "ratings", "reviews"):
-        run("replay", "--topic", topic, "--table", at("split", "stream", topic), "--out",
+        run("replay", "--topic", topic, "--table", at("split", topic, "split=stream"), "--out",
             at("topics", topic), "--per-file", 15)
     for _ in range(2):
         run("stream", "--root", at("live"), "--dimensions", at("tables"), "--replay", at("topics"),
             "--max-files", 2, "--once")
     run("snapshot", "--root", at("live"), "--out", at("now"))
     now = spark.read.parquet(at("now"))
-    streamed = now.join(spark.read.json(at("split", "stream", "movies")).select("item_id"), "item_id")
+    streamed = now.join(spark.read.json(at("split", "movies", "split=stream")).select("item_id"), "item_id")
     # half stars are cut off on the wire
     assert rows(streamed, "avgRating", "positive_reviews") == [(3.0, 3)] * 4
     # the capped load reached the ratings of five films, one of its reviews each

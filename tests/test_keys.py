@@ -3,7 +3,9 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from catalogflow.operators import keys, sampling
-from catalogflow.plans import flag_holdout, holdout, link_catalogue, merge_catalogue, recent_rows
+from catalogflow.plans import (
+    flag_holdout, flagged_holdout, holdout, link_catalogue, merge_catalogue, recent_rows,
+)
 
 
 def _movies(spark, n=300):
@@ -54,6 +56,11 @@ def test_sides_are_disjoint_and_complete(spark, rows):
         held = {r[0] for r in rows(sides.stream["movies"], "item_id")}
         assert held and held.isdisjoint(r[0] for r in rows(sides.db["facts"], "item_id"))
         assert sides.stream["movies"].first()["neutral_reviews"] == 0
+        flagged = flagged_holdout(movies, {"facts": facts}, **how)
+        for table in ("movies", "facts"):
+            side = flagged[table].filter("split = 'stream'").drop("split")
+            assert rows(side) == rows(sides.stream[table].select(*side.columns))
+            assert flagged[table].filter("split IS NULL").count() == 0
 
 
 def test_null_or_empty(spark, rows):

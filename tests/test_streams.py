@@ -4,15 +4,15 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from catalogflow.operators.aggregates import average_ratings, rating_totals, review_totals
-from catalogflow.plans import movie_snapshot
+from catalogflow.operators.aggregates import add_rating_totals, average_ratings, review_totals
+from catalogflow.plans import bulk_load, movie_snapshot, stamp_loaded
 from catalogflow.sources import replay_stream
 from catalogflow.streaming import (
     await_all, movies_job, ratings_job, reviews_job, run_stream, running_averages,
     running_sentiment,
 )
 from catalogflow.streaming.stateful import current_averages, current_sentiment
-from catalogflow.tables import Tables
+from catalogflow.tables import LOADED, Tables
 
 
 @pytest.fixture
@@ -125,6 +125,17 @@ def test_reviews(spark, rows, topic, tables, tmp_path):
     assert rows(tables.read(spark, "quarantine_reviews"), "raw") == [('{"item_id": 2}',)]
 
 
+def test_loading_again_replaces_everything(spark, rows, topic, tables, tmp_path):
+    loaded = spark.createDataFrame([(1, 9, 5.0)], "item_id bigint, user_id bigint, rating double")
+    bulk_load({"ratings": stamp_loaded(loaded)}, tables)
+    _run(spark, ratings_job, topic("ratings", DATA), tables, str(tmp_path / "cp"))
+    assert tables.read(spark, "ratings").count() == 61
+    assert add_rating_totals(tables.read(spark, "rating_totals")).count() == 5
+    bulk_load({"ratings": stamp_loaded(loaded)}, tables)
+    assert rows(tables.read(spark, "ratings"), "user_id", "batch_id") == [(9, LOADED)]
+    assert rows(tables.read(spark, "rating_totals"), "item_id", "rating_count") == [(1, 1)]
+
+
 def _film(item, genres, starring="X", title="T (1999)"):
     return {"item_id": item, "title": title, "genres": genres, "directedBy": "D",
             "starring": starring, "imdbId": "tt"}
