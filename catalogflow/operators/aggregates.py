@@ -81,5 +81,4 @@ def latest_per_key(versions: DataFrame, key: str, version: str) -> DataFrame:
     do not gather in one task.
     """
     rest = [c for c in versions.columns if c not in (key, version)]
-    newest = F.max_by(F.struct(*rest), version).alias("_row")
-    return versions.groupBy(key).agg(newest).select(key, "_row.*")
+    return versions.groupBy(key).agg(*[F.max_by(c, version).alias(c) for c in rest])

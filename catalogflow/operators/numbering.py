@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,27 @@ def number_rows(frame: DataFrame, *order, name: str, start: int = 1) -> DataFram
     )
 
 
+def _rank(frame: DataFrame, order: tuple[str, ...]) -> Column:
+    """One value that orders as the ``order`` columns do, null first.
+
+    A whole number, alone or with a smaller one behind it (film and position), becomes a
+    decimal: its minimum is kept in a hash table, while that of a struct needs a sort of
+    all rows.
+    """
+    kinds = [frame.schema[c].dataType for c in order]
+    small = (T.ByteType, T.ShortType, T.IntegerType)
+    if not (isinstance(kinds[0], T.IntegralType) and all(isinstance(k, small) for k in kinds[1:])):
+        return F.struct(*order)
+    if len(order) > 2:
+        return F.struct(*order)
+    below_long = F.lit(str(-(2**63) - 1)).cast("decimal(20,0)")
+    major = F.coalesce(F.col(order[0]).cast("decimal(20,0)"), below_long)
+    if len(order) == 1:
+        return major
+    minor = F.coalesce(F.col(order[1]).cast("bigint") + F.lit(2**31 + 1), F.lit(0))
+    return major * F.lit(2**33).cast("decimal(10,0)") + minor.cast("decimal(10,0)")
+
+
 def number_values(
     frame: DataFrame, value: str, *order: str, name: str, start: int = 1
 ) -> DataFrame:
@@ -46,8 +67,8 @@ def number_values(
     A value is reduced to one row per task before any shuffle, so a value that fills a
     third of the data costs no more than a rare one.
     """
-    first = frame.groupBy(value).agg(F.min(F.struct(*order)).alias("_first"))
-    return number_rows(first, "_first", name=name, start=start).select(name, value)
+    first = frame.groupBy(value).agg(F.min(_rank(frame, order)).alias("_first"))
+    return number_rows(first, "_first", value, name=name, start=start).select(name, value)
 
 
 _ACCURACY = 10_000

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogflow.operators.numbering import (
-    _leading, factorize, first_in_order, number_rows, number_values,
+    _leading, _rank, factorize, first_in_order, number_rows, number_values,
 )
 from catalogflow.plans import bridge_rows, list_names, lookup, normalize, unmatched
 
@@ -64,6 +64,24 @@ def test_factorize(spark, rows):
     assert rows(index, "code", "v") == [(0, "b"), (1, "a")]
 
 
+@pytest.mark.parametrize("kinds", ["a bigint, b int", "a string, b bigint"])
+def test_rank_orders_as_the_columns_do(spark, kinds):
+    edge = [None, -(2**63), -5, -1, 0, 1, 7, 2**63 - 1]
+    small = [None, -(2**31), -1, 0, 1, 2**31 - 1]
+    pairs = [(a, b) for a in edge for b in small]
+    if kinds.startswith("a string"):
+        pairs = [(a if a is None else str(a), b) for a, b in pairs]
+    frame = spark.createDataFrame(pairs, kinds)
+    by_rank = frame.orderBy(_rank(frame, ("a", "b"))).collect()
+    assert by_rank == frame.orderBy("a", "b").collect()
+
+
+def test_first_appearance_is_kept_in_a_hash_table(spark, movies):
+    names = list_names(movies, "starring", "mixed", "actor_name")
+    first = names.groupBy("actor_name").agg(F.min(_rank(names, ("item_id", "pos"))))
+    assert "SortAggregate" not in first._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.fixture
 def movies(spark):
     cells = [(2, "B, A"), (1, "A,,A"), (3, None), (4, "C\tA "), (5, "")]
