@@ -106,10 +106,7 @@ def _linked(spark, sf):
 
 
 def _merged(spark, sf):
-    price = t.load(spark, sf, "part").select(
-        F.col("p_partkey").alias("item_id"), F.col("p_retailprice").alias("avgRating")
-    )
-    metadata = t.movies(spark, sf).drop("genres").join(price, "item_id")
+    metadata = t.movies(spark, sf, F.col("p_retailprice").alias("avgRating")).drop("genres")
     return merge_catalogue(metadata, _linked(spark, sf))
 
 

@@ -37,11 +37,10 @@ def roundtrip_csv(spark, sf):
     return read_csv(spark, path, part.schema)
 
 
-@query("SELECT least(count(*), 1000) AS rows FROM lineitem")
+@query("SELECT 1 AS one FROM lineitem LIMIT 1000")
 def scan_first_rows(spark, sf):
-    """How many rows a look at the first thousand gives."""
-    rows = first_rows(t.ratings(spark, sf), 1000)
-    return rows.agg(F.count("*").alias("rows"))
+    """A look at any thousand rows; which ones is open, so only their number is checked."""
+    return first_rows(t.ratings(spark, sf), 1000).select(F.lit(1).alias("one"))
 
 
 _HELD = "SELECT p_partkey FROM part ORDER BY md5('42:' || p_partkey), p_partkey LIMIT 10"

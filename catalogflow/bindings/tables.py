@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogflow.functions.text import WHITESPACE_CLASS
@@ -12,8 +12,8 @@ def load(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
-def movies(spark: SparkSession, sf: str) -> DataFrame:
-    """item_id, title, imdbId, genres, starring, directedBy from ``part``.
+def movies(spark: SparkSession, sf: str, *more: Column) -> DataFrame:
+    """item_id, title, imdbId, genres, starring, directedBy from ``part``, and ``more`` of it.
 
     Starring has a repeated name, runs of delimiters and an empty part at the end.
     Titles of ECONOMY parts hold the key instead of a year.
@@ -32,6 +32,7 @@ def movies(spark: SparkSession, sf: str) -> DataFrame:
             F.lit(","),
         ).alias("starring"),
         F.col("p_type").alias("directedBy"),
+        *more,
     )
 
 

@@ -38,9 +38,14 @@ def average_ratings(ratings: DataFrame) -> DataFrame:
 
 
 def average_for_touched(ratings: DataFrame, batch: DataFrame) -> DataFrame:
-    """Averages over all ratings, for the items of ``batch`` only."""
+    """Averages over all ratings, for the items of ``batch`` only.
+
+    Written as totals first, so that at worst one row per item and task is shuffled. Where
+    the batch's items are few enough to broadcast, Spark moves the filter below the totals.
+    """
     touched = batch.select("item_id").distinct()
-    return average_ratings(ratings.join(touched, "item_id", "left_semi"))
+    totals = rating_totals(ratings).join(touched, "item_id", "left_semi")
+    return totals.select("item_id", average().alias("avgRating"))
 
 
 def review_totals(reviews: DataFrame) -> DataFrame:

@@ -103,3 +103,16 @@ def test_hot_items_are_combined_before_the_shuffle(spark, large_tables):
     assert plan.index("partial_sum") > plan.index("Exchange hashpartitioning")
     per_title = aggregates.ratings_per_title(_hot(spark), _movies(spark))
     assert per_title.agg(F.max("ratings")).first()[0] >= 20_000
+
+
+def test_touched_items_filter_early_when_few_and_late_when_many(spark, large_tables):
+    ratings, batch = _hot(spark), _movies(spark, 50)
+
+    def order():
+        plan = _physical(aggregates.average_for_touched(ratings, batch))
+        plan = plan[plan.index("Initial Plan") :] if "Initial Plan" in plan else plan
+        return plan.index("partial_sum") < plan.index("LeftSemi")
+
+    assert not order()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    assert order()
