@@ -29,6 +29,7 @@ from catalogflow.plans import (
     replay,
 )
 from catalogflow.plans.bulkload import capped, prepare_movies, prepare_reviews, stamp_loaded
+from catalogflow.plans.replay import messages_per_file
 from catalogflow.session import build_session
 from catalogflow.sinks import replace_jdbc, split_jsonl, write_jsonl
 from catalogflow.sources import kafka_stream, read_csv, read_jdbc, read_jsonl, replay_stream
@@ -86,7 +87,10 @@ def load(spark: SparkSession, args) -> None:
 
 
 def replay_table(spark: SparkSession, args) -> None:
-    replay(args.topic, _read(spark, args.table), args.out, args.per_file)
+    per_file = args.per_file
+    if args.rate:
+        per_file = messages_per_file(args.rate, float(INTERVALS[args.topic].split()[0]))
+    replay(args.topic, _read(spark, args.table), args.out, per_file)
 
 
 def stream(spark: SparkSession, args) -> None:
@@ -156,7 +160,9 @@ def _parser() -> argparse.ArgumentParser:
     loads.add_argument("--cap", type=int)
     loads.add_argument("--unscored", action="store_true")
     topics = command("replay", replay_table, "topic", "table", "out")
-    topics.add_argument("--per-file", type=int)
+    size = topics.add_mutually_exclusive_group()
+    size.add_argument("--per-file", type=int)
+    size.add_argument("--rate", type=float, help="messages a second, with stream --max-files 1")
     streams = command("stream", stream, "root", "dimensions")
     source = streams.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers")

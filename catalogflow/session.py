@@ -45,12 +45,13 @@ def work_folder(spark: SparkSession, label: str) -> str:
     Only a local session without that setting gets a temporary folder of its own;
     a cluster without it is an error, since executors would not share the path.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="catalogflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -8,6 +8,7 @@ from catalogflow import schemas, sinks, sources
 from catalogflow.operators.aggregates import add_review_totals
 from catalogflow.plans import replay, wire_ratings
 from catalogflow.plans.bulkload import load_in_parts, prepare_movies, prepare_reviews
+from catalogflow.plans.replay import RATES, messages_per_file
 from catalogflow.sources import jdbc_options, kafka_options
 from catalogflow.session import work_folder
 
@@ -101,6 +102,12 @@ def test_replay_files_are_bounded(spark, tmp_path):
     assert len(list((tmp_path / "r").glob("*.txt"))) == 8
 
 
+def test_rates_as_files():
+    assert [messages_per_file(r, 5) for r in RATES["ratings"] + RATES["reviews"]] == [10, 25, 2, 20]
+    assert messages_per_file(RATES["movies"][0], 10) == 5
+    assert messages_per_file(0.01, 5) == 1
+
+
 def test_loaded_rows_are_seven_days_old(spark):
     as_of = F.lit("2024-01-08 00:00:00").cast("timestamp")
     reviews = spark.createDataFrame([(1, "bad")], "item_id bigint, txt string")
