@@ -69,5 +69,6 @@ if __name__ == "__main__":
         except Exception as error:
             result = f"{type(error).__name__}: {str(error)[:600]}"
         bad += result is not None
-        print(f"{'ok ' if result is None else 'BAD'} {name} {time.time() - started:.2f}s {result or ''}", flush=True)
+        mark = "ok " if result is None else "BAD"
+        print(f"{mark} {name} {time.time() - started:.2f}s {result or ''}", flush=True)
     print("failed:", bad)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from catalogflow.operators import aggregates, keys
-from catalogflow.plans import list_names, lookup, rated_movies, unmatched
+from catalogflow.plans import lookup, rated_movies, unmatched
 
 SF = "/root/testdata/sf0.001"
 
