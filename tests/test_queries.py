@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from catalogflow.bindings.registry import QUERIES, SQL
 from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -13,9 +14,9 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    assert compare(spark, con, entry.queries()[name], entry.oracle_sql()[name], SF) is None
+    assert compare(spark, con, QUERIES[name], SQL[name], SF) is None
 
 
 def test_entry(spark):
