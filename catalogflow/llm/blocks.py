@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +20,23 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(_column(docs, id_col).alias("id"), _column(docs, text_col).alias("text"))
 
 
+_shipped: set[str] = set()
+
+
+def map_arrow(frame: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow``, with this package sent to the executors once in each application."""
+    context = frame.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="catalogflow-code-")) / "catalogflow.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+    return frame.mapInArrow(run, schema)
+
+
 def _column(frame: DataFrame, name: str) -> Column:
     return frame[f"`{name.replace('`', '``')}`"]
 
@@ -51,14 +72,14 @@ def map_texts(
                     names=["id", *names],
                 )
 
-    out = frame.mapInArrow(run, f"id {kind}, {schema}")
+    out = map_arrow(frame, run, f"id {kind}, {schema}")
     return out.withColumnRenamed("id", id_col)
 
 
 def blocks_of(column: pa.Array, block_bytes: int) -> Iterator[tuple[int, list[str]]]:
     """Runs of rows of at most ``block_bytes`` of text, with the number of their first row."""
     sizes = np.nan_to_num(
-        pa.compute.binary_length(column).to_numpy(zero_copy_only=False).astype("float64")
+        pc.binary_length(column).to_numpy(zero_copy_only=False).astype("float64")
     )
     start, held = 0, 0.0
     for i, size in enumerate(sizes):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogflow.llm.blocks import blocks_of, id_and_text, sha256
+from catalogflow.llm.blocks import blocks_of, id_and_text, map_arrow
 
 WINDOW = 10
 BLOCK = 5
@@ -172,7 +172,7 @@ def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str) -> Dat
 
     frame = id_and_text(benchmark, item_col, text_col)
     frame = frame.select(F.col("id").cast("string").alias("id"), "text")
-    return frame.mapInArrow(run, "item string, window binary").distinct()
+    return map_arrow(frame, run, "item string, window binary").distinct()
 
 
 def passes(windows: DataFrame) -> list[list[tuple[str, bytes]]]:
@@ -258,7 +258,7 @@ def _one_pass(spark: SparkSession, docs: DataFrame, windows, schema: str) -> Dat
                     names=["id", "text", "n_words", "spans", "items"],
                 )
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
