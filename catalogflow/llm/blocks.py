@@ -48,17 +48,26 @@ def map_texts(
     schema: str,
     block: Callable[[], Callable[[list[str]], dict[str, list]]],
     block_bytes: int,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One output row per document: its id and what ``block()`` finds for blocks of texts.
 
+    The columns named in ``keep`` follow as they are.
+
     ``block`` is called once per task and returns the function that takes a list of texts (null
     is passed as an empty text) and returns a list per column of ``schema``. A block ends at
     ``block_bytes``; a longer text is a block of its own, so memory follows the longest text
     and not the batch.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    frame = id_and_text(docs, id_col, text_col)
+    frame = docs.select(
+        _column(docs, id_col).alias("id"),
+        _column(docs, text_col).alias("text"),
+        *[_column(docs, c).alias(f"keep_{i}") for i, c in enumerate(keep)],
+    )
     names = [f.split()[0] for f in schema.split(", ")]
+    kept = [f"keep_{i}" for i in range(len(keep))]
+    kinds = "".join(f", {k} {docs.schema[c].dataType.simpleString()}" for k, c in zip(kept, keep))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
@@ -68,12 +77,18 @@ def map_texts(
             for start, texts in blocks_of(batch.column(1), block_bytes):
                 found = work(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(start, len(texts)), *(pa.array(found[n]) for n in names)],
-                    names=["id", *names],
+                    [
+                        ids.slice(start, len(texts)),
+                        *(pa.array(found[n]) for n in names),
+                        *(batch.column(2 + i).slice(start, len(texts)) for i in range(len(keep))),
+                    ],
+                    names=["id", *names, *kept],
                 )
 
-    out = map_arrow(frame, run, f"id {kind}, {schema}")
-    return out.withColumnRenamed("id", id_col)
+    out = map_arrow(frame, run, f"id {kind}, {schema}{kinds}")
+    for name, column in zip(["id", *kept], [id_col, *keep]):
+        out = out.withColumnRenamed(name, column)
+    return out
 
 
 def blocks_of(column: pa.Array, block_bytes: int) -> Iterator[tuple[int, list[str]]]:

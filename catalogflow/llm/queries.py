@@ -7,7 +7,14 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogflow.llm import line_templates, pair_bpe, token_automaton, wu_manber
+from catalogflow.llm import (
+    fertility,
+    line_templates,
+    pair_bpe,
+    substring_dedup,
+    token_automaton,
+    wu_manber,
+)
 
 #: The folder of the public tokenizers' files.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -34,11 +41,37 @@ def vocabulary(name: str) -> str:
     return f"{TOKENIZERS}/{name}"
 
 
+@query(r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), s AS (
+  SELECT doc_id, i, hash(array_to_string(w[i:i + 34], ' ')) AS h, md5(array_to_string(w[i:i + 34], ' ')) AS m
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+), r AS (
+  SELECT doc_id, i FROM s JOIN (SELECT h, m FROM s GROUP BY h, m HAVING count(*) > 1) USING (h, m)
+), g AS (
+  SELECT doc_id, list(DISTINCT k) AS gone
+  FROM (SELECT doc_id, unnest(range(i, i + 35)) AS k FROM r) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ')
+              ELSE array_to_string(list_transform(list_sort(list_filter(range(1, len(w) + 1),
+                   lambda i : NOT list_contains(gone, i))), lambda i : w[i]), ' ') END) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id)""")
+def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf, "documents"), with_text=False)
+
+
 @query()
 def op5_pair_index_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return pair_bpe.digests(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query()
+def op7_fertility(spark: SparkSession, sf: str) -> DataFrame:
+    return fertility.judge(table(spark, sf, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 @query(line_templates.digest_sql())
 def op8_line_templates(spark: SparkSession, sf: str) -> DataFrame:
     kept = line_templates.drop_lines(table(spark, sf, "documents"))
