@@ -12,11 +12,13 @@ and a direct comparison of all bytes confirms. Many cursors run over a block of
 from __future__ import annotations
 
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalogflow.llm.blocks import blocks_of, id_and_text, map_arrow
 
@@ -206,11 +208,12 @@ def search(
     null hits words but is not listed. An empty benchmark finds nothing. The benchmark's
     windows are sent to the tasks in passes of bounded size, and each pass adds to the lists.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = (
-        f"id {kind}, text string, n_words bigint, "
-        "spans array<struct<start: bigint, end: bigint>>, items array<string>"
-    )
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType)])
+    for field in T._parse_datatype_string(
+        "text string, n_words bigint, spans array<struct<start: bigint, end: bigint>>, "
+        "items array<string>"
+    ):
+        schema = schema.add(field)
     out = id_and_text(docs, id_col, text_col).select(
         "id",
         "text",
@@ -224,17 +227,18 @@ def search(
     return out.withColumnRenamed("id", id_col)
 
 
-_held: dict[int, Searcher] = {}
+_held: dict[str, Searcher] = {}
 
 
-def _one_pass(spark: SparkSession, docs: DataFrame, windows, schema: str) -> DataFrame:
-    sent = spark.sparkContext.broadcast(windows)
+def _one_pass(spark: SparkSession, docs: DataFrame, windows, schema: T.StructType) -> DataFrame:
+    sent, tag = spark.sparkContext.broadcast(windows), uuid.uuid4().hex
 
     def run(batches):
-        if sent.id not in _held:
+        # The tables are built once in each Python worker.
+        if tag not in _held:
             _held.clear()
-            _held[sent.id] = Searcher(sent.value)
-        searcher = _held[sent.id]
+            _held[tag] = Searcher(sent.value)
+        searcher = _held[tag]
         for batch in batches:
             for start, texts in blocks_of(batch.column(1), BLOCK_BYTES):
                 part = batch.slice(start, len(texts))
@@ -291,3 +295,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **columns: str) -> Data
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+def clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` in which no window of the benchmark occurs, with all columns."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{text_col}`").alias("text"))
+    found = search(rows, benchmark, "row", "text", item_col, item_text_col)
+    return found.where(F.size("spans") == 0).select("row.*")
