@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogflow.llm import (
+    bag_minhash,
     fertility,
     line_templates,
     pair_bpe,
@@ -62,6 +63,12 @@ def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf, "documents"), with_text=False)
 
 
+@query()
+def op4_bag_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = bag_minhash.classes(table(spark, sf, "documents"))
+    return found.select("doc_id", "class_id", "class_size")
+
+
 @query()
 def op5_pair_index_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return pair_bpe.digests(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))

@@ -79,6 +79,9 @@ class Transducer:
             s: i for i, s in self.symbols_of.items() if len(s) == 1 or self._encode(s) == [i]
         }
         self.prefixes = {s[:n] for s in self.tokens for n in range(1, len(s))} | {""}
+        # An entry of the table holds the next state above 8 bits for the tokens emitted.
+        if max(map(len, self.tokens)) > 127:
+            raise ValueError("a token has more than 127 bytes")
         self.fits: dict[tuple[int, int], bool] = {}
         self.forget()
 
@@ -109,7 +112,7 @@ class Transducer:
         self.states = [("", ((-1, 0),))]
         self.number = {self.states[0]: 0}
         self.columns = np.full(512, -1, np.int64)
-        self.table = np.full((1024, 32), -1, np.int64)
+        self.table = np.full((1024, 32), -1, np.int32)
 
     def _step(self, state: int, symbol: int) -> tuple[int, int]:
         """The next state and the tokens emitted.
@@ -145,10 +148,10 @@ class Transducer:
         for state, symbol in zip(states.tolist(), symbols.tolist()):
             following, emitted = self._step(state, symbol)
             if len(self.states) > len(self.table):
-                grown = np.full((2 * len(self.table), self.table.shape[1]), -1, np.int64)
+                grown = np.full((2 * len(self.table), self.table.shape[1]), -1, np.int32)
                 grown[: len(self.table)] = self.table
                 self.table = grown
-            self.table[state, self.columns[symbol]] = following << 16 | (emitted + 32768)
+            self.table[state, self.columns[symbol]] = following << 8 | (emitted + 128)
 
     def read(self, symbols: np.ndarray, lanes: np.ndarray, lengths: np.ndarray, entry: np.ndarray):
         """Read runs of symbols in step: what each symbol emits, and each run's exit state.
@@ -168,8 +171,8 @@ class Transducer:
                 pairs = np.unique(state[on][missing] << 9 | symbol[missing])
                 self._fill(pairs >> 9, pairs & 511)
                 packed = self.table[state[on], self.columns[symbol]]
-            state[on] = packed >> 16
-            emitted[step, on] = (packed & 65535) - 32768
+            state[on] = packed >> 8
+            emitted[step, on] = (packed & 255) - 128
         return emitted, state
 
     def emissions(self, symbols: np.ndarray) -> np.ndarray:
@@ -183,7 +186,7 @@ class Transducer:
         new = new[self.columns[new] < 0]
         self.columns[new] = self.columns.max() + 1 + np.arange(len(new))
         if (width := int(self.columns.max()) + 1) > self.table.shape[1]:
-            grown = np.full((len(self.table), 2 * width), -1, np.int64)
+            grown = np.full((len(self.table), width + 8), -1, np.int32)
             grown[:, : self.table.shape[1]] = self.table
             self.table = grown
         lanes = np.arange(0, n, CHUNK)
