@@ -27,30 +27,34 @@ SIMILARITY = 0.7
 WILD = "<*>"
 
 
-def masked(line: Column) -> Column:
-    """A line with one space between tokens and ``<*>`` for each token that holds a digit."""
-    spaced = F.when(
-        line.rlike(r"[\x09-\x0D]|  |^ | $"),
-        F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")),
-    ).otherwise(line)
-    return F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, "[^ ]*[0-9][^ ]*", WILD)).otherwise(
-        spaced
-    )
-
+def _bound(frame: DataFrame, name: str, value: Column) -> DataFrame:
+    """``frame`` with a column whose value is made once, however often it is used later.
 
-def n_tokens(line: Column) -> Column:
-    return F.when(line == "", 0).otherwise(
-        F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
-    )
+    A generator keeps the optimizer from copying the expression into each of its uses.
+    """
+    return frame.select("*", F.explode(F.array(value)).alias(name))
 
 
 def _lines(rows: DataFrame, min_tokens: int, lead: int) -> DataFrame:
-    """Every line that may be dropped: id, leaf, variant and the masked line."""
-    lines = rows.select("id", F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.select("id", masked(F.col("line")).alias("line"))
-    lines = lines.select("id", "line", n_tokens(F.col("line")).alias("n"))
+    """Every line that may be dropped: id, v, number, leaf, variant and the masked line.
+
+    A masked line has one space between tokens and ``<*>`` for each token that holds a digit.
+    """
+    raw = rows.select("id", "v", F.posexplode(F.split("text", "\n")).alias("number", "raw"))
+    odd = F.lit(False)
+    for space in ("  ", "\t", "\r", "\x0b", "\x0c"):
+        odd |= F.contains("raw", F.lit(space))
+    spaced = F.when(odd, F.regexp_replace("raw", r"[\x20\x09-\x0D]+", " ")).otherwise(F.col("raw"))
+    lines = _bound(raw, "spaced", F.trim(spaced)).drop("raw")
+    digits = F.regexp_replace("spaced", "[^ ]*[0-9][^ ]*", WILD)
+    masked = F.when(F.col("spaced").rlike("[0-9]"), digits).otherwise(F.col("spaced"))
+    lines = _bound(lines, "line", masked).drop("spaced")
+    gaps = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit("")))
+    lines = _bound(lines, "n", F.when(F.col("line") == "", 0).otherwise(gaps + 1))
     return lines.where(F.col("n") >= min_tokens).select(
         "id",
+        "v",
+        "number",
         F.xxhash64("n", F.substring_index("line", " ", lead)).alias("leaf"),
         F.xxhash64("line").alias("variant"),
         "line",
@@ -66,6 +70,8 @@ def recurring(
 ) -> tuple[DataFrame, DataFrame]:
     """The lines in leaves that may hold a recurring template, and the variants to drop.
 
+    ``rows`` has id, text and v, a hash of the text.
+
     The second frame has leaf, variant and ``keep``, the id of the document that keeps its
     lines: the lowest among those with the template.
     """
@@ -73,7 +79,7 @@ def recurring(
     leaves = materialize(
         lines.groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf"), "leaves"
     )
-    near = lines.join(leaves, "leaf")
+    near = materialize(lines.join(leaves, "leaf"), "near")
     variants = materialize(
         near.groupBy("leaf", "variant").agg(
             F.countDistinct("id").alias("docs"),
@@ -136,43 +142,31 @@ def drop_lines(
     Added columns: ``n_lines`` and ``n_dropped``. A template in ``min_docs`` documents or more
     stays in the one with the lowest id only; lines of fewer than ``min_tokens`` tokens always
     stay. A null text stays null (0 lines), an empty one stays empty (1 line). Rows with the
-    same id count as one document and lose the same lines; rows with a null id lose none.
+    same id count as one document; rows with a null id lose no line.
     Columns of ``docs`` named like the added ones are replaced.
     """
-    rows = id_and_text(docs, id_col, text_col).where(F.col("id").isNotNull())
-    near, drop = recurring(rows, **settings)
+    rows = id_and_text(docs, id_col, text_col).withColumn("v", F.xxhash64("text"))
+    near, drop = recurring(rows.where("id is not null"), **settings)
     gone = (
         near.join(drop, ["leaf", "variant"])
         .where(F.col("id") != F.col("keep"))
-        .groupBy(F.col("id").alias("gone_from"))
-        .agg(F.collect_set("variant").alias("gone_lines"))
+        .groupBy(F.col("id").alias("gone_id"), F.col("v").alias("gone_v"))
+        .agg(F.collect_set("number").alias("gone"))
     )
-    lead, min_tokens = settings.get("lead", LEAD), settings.get("min_tokens", MIN_TOKENS)
     plain = docs.drop("n_lines", "n_dropped")
     text = plain[f"`{text_col}`"]
-    joined = plain.join(gone, plain[f"`{id_col}`"] == gone["gone_from"], "left")
-    lines = F.split(text, "\n")
-
-    def stays(line: Column) -> Column:
-        form = masked(line)
-        return (n_tokens(form) < min_tokens) | ~F.array_contains("gone_lines", F.xxhash64(form))
-
-    kept = F.when(F.col("gone_lines").isNull(), lines).otherwise(F.filter(lines, stays))
-    out = joined.select(
-        *[plain[f"`{c}`"] for c in plain.columns if c != text_col],
-        text.alias("__text"),
-        lines.alias("__lines"),
-        kept.alias("__kept"),
+    joined = plain.join(
+        gone,
+        (plain[f"`{id_col}`"] == gone["gone_id"]) & (F.xxhash64(text) == gone["gone_v"]),
+        "left",
     )
-    return out.select(
-        *[
-            F.when(F.col("__text").isNotNull(), F.array_join("__kept", "\n")).alias(c)
-            if c == text_col
-            else F.col(f"`{c}`")
-            for c in plain.columns
-        ],
-        F.coalesce(F.size("__lines"), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("__lines") - F.size("__kept"), F.lit(0)).cast("bigint").alias("n_dropped"),
+    stay = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains("gone", i))
+    kept = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(stay, "\n"))
+    breaks = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    return joined.select(
+        *[kept.alias(c) if c == text_col else plain[f"`{c}`"] for c in plain.columns],
+        F.coalesce(breaks + 1, F.lit(0)).cast("bigint").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_dropped"),
     )
 
 
