@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -59,15 +59,15 @@ def map_texts(
     ``block_bytes``; a longer text is a block of its own, so memory follows the longest text
     and not the batch.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
     frame = docs.select(
         _column(docs, id_col).alias("id"),
         _column(docs, text_col).alias("text"),
         *[_column(docs, c).alias(f"keep_{i}") for i, c in enumerate(keep)],
     )
-    names = [f.split()[0] for f in schema.split(", ")]
     kept = [f"keep_{i}" for i in range(len(keep))]
-    kinds = "".join(f", {k} {docs.schema[c].dataType.simpleString()}" for k, c in zip(kept, keep))
+    result = T._parse_datatype_string(schema)
+    names = result.names
+    types = T.StructType([frame.schema["id"], *result, *(frame.schema[k] for k in kept)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
@@ -85,7 +85,7 @@ def map_texts(
                     names=["id", *names, *kept],
                 )
 
-    out = map_arrow(frame, run, f"id {kind}, {schema}{kinds}")
+    out = map_arrow(frame, run, types)
     for name, column in zip(["id", *kept], [id_col, *keep]):
         out = out.withColumnRenamed(name, column)
     return out

@@ -213,6 +213,17 @@ def bands(measured: DataFrame, reach: float = REACH) -> DataFrame:
     )
 
 
+def keep_good(docs: DataFrame, path: str, **settings) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all columns; see there for the settings."""
+    text_col, lang_col = settings.pop("text_col", "text"), settings.pop("lang_col", "lang")
+    settings.pop("id_col", None)
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")
+    )
+    measured = materialize(_of_kind(measure(rows, path, "row", "text", ("lang",)), "lang"), "fertility")
+    return _judged(measured, **settings).where("kept").select("row.*")
+
+
 def judge(
     docs: DataFrame,
     path: str,
@@ -230,17 +241,8 @@ def judge(
     measured and counted each; other columns are ignored.
     """
     measured = measure(docs, path, id_col, text_col, (lang_col,))
-    kind = F.coalesce(
-        F.concat(F.lit("lang "), F.col(f"`{lang_col}`").cast("string")),
-        F.concat(F.lit("script "), F.col("script")),
-    )
-    measured = materialize(measured.withColumn("kind", kind), "fertility")
-    inside = F.lit(True)
-    for n in LEAST_RANGE:
-        inside &= F.col(n).between(F.col(f"{n}_low"), F.col(f"{n}_high"))
-    joined = measured.join(bands(measured, reach), "kind", "left")
-    kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
-    return joined.select(
+    measured = materialize(_of_kind(measured, lang_col), "fertility")
+    return _judged(measured, reach).select(
         id_col,
         "n_words",
         "word_chars",
@@ -248,6 +250,25 @@ def judge(
         "n_dup_lines",
         "n_repeat_words",
         "base_failed",
-        kept.alias("kept"),
+        "kept",
         *[F.round(n, 6).alias(n) for n in LEAST_RANGE],
     )
+
+
+def _of_kind(measured: DataFrame, lang_col: str) -> DataFrame:
+    """Adds the group whose band holds: the language, or else the script."""
+    return measured.withColumn(
+        "kind",
+        F.coalesce(
+            F.concat(F.lit("lang "), F.col(f"`{lang_col}`").cast("string")),
+            F.concat(F.lit("script "), F.col("script")),
+        ),
+    )
+
+
+def _judged(measured: DataFrame, reach: float = REACH) -> DataFrame:
+    inside = F.lit(True)
+    for n in LEAST_RANGE:
+        inside &= F.col(n).between(F.col(f"{n}_low"), F.col(f"{n}_high"))
+    kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
+    return measured.join(bands(measured, reach), "kind", "left").withColumn("kept", kept)

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from catalogflow.llm import (
     bag_minhash,
     fertility,
+    html_text,
+    language_id,
     line_templates,
     pair_bpe,
     substring_dedup,
     token_automaton,
+    tool_links,
     wu_manber,
 )
 
@@ -42,6 +45,11 @@ def vocabulary(name: str) -> str:
     return f"{TOKENIZERS}/{name}"
 
 
+@query()
+def op1_language_family(spark: SparkSession, sf: str) -> DataFrame:
+    return language_id.identify(table(spark, sf, "documents"))
+
+
 @query(r"""
 WITH d AS (
   SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
@@ -63,6 +71,11 @@ def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf, "documents"), with_text=False)
 
 
+@query()
+def op3_html_crf(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf, "pages"), keep=("url",))
+
+
 @query()
 def op4_bag_minhash(spark: SparkSession, sf: str) -> DataFrame:
     found = bag_minhash.classes(table(spark, sf, "documents"))
@@ -74,6 +87,28 @@ def op5_pair_index_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return pair_bpe.digests(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+#: Schemas of the tools that conversations may call.
+TOOLS = {
+    "search": {
+        "type": "object",
+        "required": ["query"],
+        "properties": {"query": {"type": "string"}, "limit": {"type": "integer", "minimum": 1}},
+        "additionalProperties": False,
+    },
+}
+
+
+@query("""
+SELECT conv_id, turn, turn AS order_turn, CAST(0 AS INTEGER) AS order_level, role,
+       '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":'
+       || CAST(to_json(role) AS VARCHAR) || '}' AS message,
+       CAST(0 AS BIGINT) AS n_calls, CAST(0 AS BIGINT) AS n_answered,
+       CAST(0 AS BIGINT) AS n_invalid, 'text' AS status
+FROM conversations""")
+def op6_tool_links(spark: SparkSession, sf: str) -> DataFrame:
+    return tool_links.format_turns(table(spark, sf, "conversations"), TOOLS)
+
+
 @query()
 def op7_fertility(spark: SparkSession, sf: str) -> DataFrame:
     return fertility.judge(table(spark, sf, "documents"), vocabulary("piece_bpe_32k.model"))

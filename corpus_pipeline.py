@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogflow.llm import line_templates, pair_bpe, wu_manber
+from catalogflow.llm import bag_minhash, fertility, line_templates, pair_bpe, wu_manber
 from catalogflow.llm.queries import table, vocabulary
 from catalogflow.session import materialize
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return fertility.keep_good(docs, vocabulary("piece_bpe_32k.model"))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops recurring lines; a document of which nothing is left goes."""
     kept = line_templates.drop_lines(docs)
@@ -21,6 +26,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the least id stays."""
+    return bag_minhash.keep_first(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
     return wu_manber.clean(docs, table(spark, sf_dir, "benchmark"))
@@ -32,7 +42,9 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_rules", quality),
     ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
     ("benchmark_decontamination", decontamination),
     ("encoding", encoding),
 ]
