@@ -153,18 +153,21 @@ def drop_lines(
         .groupBy(F.col("id").alias("gone_id"), F.col("v").alias("gone_v"))
         .agg(F.collect_set("number").alias("gone"))
     )
-    plain = docs.drop("n_lines", "n_dropped")
-    text = plain[f"`{text_col}`"]
-    joined = plain.join(
-        gone,
-        (plain[f"`{id_col}`"] == gone["gone_id"]) & (F.xxhash64(text) == gone["gone_v"]),
-        "left",
+    # As one column, the row's own names cannot clash with those of the join.
+    whole = docs.select(F.struct("*").alias("row"))
+    own_id, text = F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`")
+    joined = whole.join(
+        gone, (own_id == F.col("gone_id")) & (F.xxhash64(text) == F.col("gone_v")), "left"
     )
     stay = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains("gone", i))
     kept = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(stay, "\n"))
     breaks = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
     return joined.select(
-        *[kept.alias(c) if c == text_col else plain[f"`{c}`"] for c in plain.columns],
+        *[
+            kept.alias(c) if c == text_col else F.col(f"row.`{c}`")
+            for c in docs.columns
+            if c not in ("n_lines", "n_dropped")
+        ],
         F.coalesce(breaks + 1, F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_dropped"),
     )
