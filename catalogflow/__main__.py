@@ -28,8 +28,7 @@ from catalogflow.plans import (
     bulk_load, flagged_holdout, link_catalogue, merge_catalogue, movie_snapshot, normalize,
     replay,
 )
-from catalogflow.plans.bulkload import capped, prepare_movies, prepare_reviews, stamp_loaded
-from catalogflow.plans.replay import messages_per_file
+from catalogflow.plans.bulkload import prepare_movies, prepare_reviews, stamp_loaded
 from catalogflow.session import build_session
 from catalogflow.sinks import replace_jdbc, split_jsonl, write_jsonl
 from catalogflow.sources import kafka_stream, read_csv, read_jdbc, read_jsonl, replay_stream
@@ -74,8 +73,6 @@ def split(spark: SparkSession, args) -> None:
 def load(spark: SparkSession, args) -> None:
     prepared = {}
     for name, frame in _named(spark, args.table).items():
-        if name in ("ratings", "reviews"):
-            frame = capped(frame, args.cap, "item_id")
         if name == "movies":
             frame = prepare_movies(frame)
         elif name == "reviews":
@@ -87,10 +84,7 @@ def load(spark: SparkSession, args) -> None:
 
 
 def replay_table(spark: SparkSession, args) -> None:
-    per_file = args.per_file
-    if args.rate:
-        per_file = messages_per_file(args.rate, float(INTERVALS[args.topic].split()[0]))
-    replay(args.topic, _read(spark, args.table), args.out, per_file)
+    replay(args.topic, _read(spark, args.table), args.out, args.per_file)
 
 
 def stream(spark: SparkSession, args) -> None:
@@ -157,12 +151,9 @@ def _parser() -> argparse.ArgumentParser:
     sides.add_argument("--seed", type=int, default=42)
     loads = command("load", load, "root")
     loads.add_argument("--table", action="append", default=[], help="name=path")
-    loads.add_argument("--cap", type=int)
     loads.add_argument("--unscored", action="store_true")
     topics = command("replay", replay_table, "topic", "table", "out")
-    size = topics.add_mutually_exclusive_group()
-    size.add_argument("--per-file", type=int)
-    size.add_argument("--rate", type=float, help="messages a second, with stream --max-files 1")
+    topics.add_argument("--per-file", type=int)
     streams = command("stream", stream, "root", "dimensions")
     source = streams.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers")

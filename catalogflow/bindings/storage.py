@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalogflow import schemas
+
 from catalogflow.bindings import tables as t
 from catalogflow.bindings.registry import query
+from catalogflow.operators.aggregates import average
 from catalogflow.operators.sampling import sample_rows
-from catalogflow.plans import flag_holdout
+from catalogflow.plans import flag_holdout, flagged_holdout, normalize
 from catalogflow.plans.bulkload import (
-    bulk_load, capped, load_in_parts, prepare_movies, prepare_reviews,
+    bulk_load, load_in_parts, prepare_movies, prepare_reviews, stamp_loaded,
 )
 from catalogflow.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS
 from catalogflow.session import work_folder
@@ -37,10 +42,15 @@ def roundtrip_csv(spark, sf):
     return read_csv(spark, path, part.schema)
 
 
-@query("SELECT 1 AS one FROM lineitem LIMIT 1000")
+@query("SELECT 1000 AS read, 1000 AS known FROM (SELECT count(*) AS n FROM lineitem) WHERE n >= 1000")
 def scan_first_rows(spark, sf):
-    """A look at any thousand rows; which ones is open, so only their number is checked."""
-    return first_rows(t.ratings(spark, sf), 1000).select(F.lit(1).alias("one"))
+    """A look at any thousand rows; which ones is open, so they are held against the table."""
+    first = first_rows(t.ratings(spark, sf), 1000)
+    source = t.ratings(spark, sf).distinct().withColumn("there", F.lit(1))
+    found = first.join(source, first.columns, "left")
+    return found.agg(
+        F.count("*").cast("int").alias("read"), F.count("there").cast("int").alias("known")
+    )
 
 
 _HELD = "SELECT p_partkey FROM part ORDER BY md5('42:' || p_partkey), p_partkey LIMIT 10"
@@ -95,15 +105,6 @@ def create_then_append(spark, sf):
     return read_table(spark, path, ratings.schema).drop("batch_id")
 
 
-@query(
-    f"SELECT item_id, user_id, rating FROM ({t.RATINGS}) "
-    "ORDER BY item_id, user_id, rating LIMIT 20000"
-)
-def capped_load(spark, sf):
-    """A load that stops at a given number of rows."""
-    return capped(t.ratings(spark, sf), 20_000, "item_id", "user_id")
-
-
 _AS_OF = datetime(2024, 12, 1, 12, 0, 0)
 
 
@@ -136,6 +137,72 @@ def bulk_load_reviews(spark, sf):
     return tables.read(spark, "reviews").drop("ingest_ts", "batch_id")
 
 
+@query(
+    f"SELECT item_id, count(*) AS ratings, CAST(sum(rating) AS DOUBLE) AS rating_sum, {t.AVERAGE} "
+    f"FROM ({t.RATINGS}) GROUP BY item_id"
+)
+def bulk_load_ratings(spark, sf):
+    """The whole ratings table loaded, and the totals it leaves."""
+    tables = Tables(work_folder(spark, "load"))
+    bulk_load({"ratings": stamp_loaded(t.ratings(spark, sf), _as_of())}, tables)
+    counted = tables.read(spark, "ratings").groupBy("item_id").agg(F.count("*").alias("ratings"))
+    totals = tables.read(spark, "rating_totals").select(
+        "item_id", F.col("rating_sum").cast("double").alias("rating_sum"), average().alias("avgRating")
+    )
+    return counted.join(totals, "item_id")
+
+
+def _bridge_sql(listed: str) -> str:
+    column, kind, id_name, name = schemas.LISTS[listed]
+    return (
+        f"SELECT '{listed}' AS kind, item_id, {id_name} AS id FROM ({t.names_sql(column, kind, name)}) "
+        f"JOIN ({t.dimension_sql(column, kind, id_name, name)}) USING ({name})"
+    )
+
+
+@query(" UNION ALL ".join(map(_bridge_sql, schemas.LISTS)))
+def bulk_load_bridges(spark, sf):
+    """Dimensions and bridges of all three lists, loaded and read back."""
+    tables, movies = Tables(work_folder(spark, "load")), t.movies(spark, sf)
+    found = []
+    for listed, (column, kind, id_name, name) in schemas.LISTS.items():
+        parts = normalize(movies, column, kind, id_name, name)
+        bulk_load({listed: parts.dimension, f"movies_{listed}": parts.bridge}, tables)
+        bridge = tables.read(spark, f"movies_{listed}")
+        known = spark.read.parquet(tables.path(listed)).select(id_name)
+        found.append(
+            bridge.join(known, id_name).select(
+                F.lit(listed).alias("kind"), "item_id", F.col(id_name).alias("id")
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT *, CASE WHEN item_id IN ({_HELD}) THEN 'stream' ELSE 'db' END AS split "
+        f"FROM ({_bridge_sql(listed)})"
+        for listed in schemas.LISTS
+    )
+)
+def holdout_bridges(spark, sf):
+    """The three bridge tables follow the films held out."""
+    movies = t.movies(spark, sf)
+    bridges = {
+        listed: normalize(movies, *how).bridge for listed, how in schemas.LISTS.items()
+    }
+    flagged = flagged_holdout(movies, bridges)
+    return reduce(
+        DataFrame.unionByName,
+        [
+            flagged[listed].select(
+                F.lit(listed).alias("kind"), "item_id", F.col(id_name).alias("id"), "split"
+            )
+            for listed, (_, _, id_name, _) in schemas.LISTS.items()
+        ],
+    )
+
+
 @query(
     "SELECT l_partkey AS item_id, l_suppkey AS user_id, l_quantity AS rating, "
     "CAST(CASE l_linestatus WHEN 'O' THEN 0 ELSE 1 END AS BIGINT) AS batch_id FROM lineitem"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from catalogflow import schemas
@@ -9,8 +12,10 @@ from catalogflow.bindings import tables as t
 from catalogflow.bindings.catalogue import REVIEW_TOTALS_SQL, SNAPSHOT_SQL
 from catalogflow.bindings.registry import query
 from catalogflow.operators.aggregates import add_rating_totals, average
-from catalogflow.plans import bulk_load, movie_snapshot, normalize, replay, stamp_loaded
+from catalogflow.plans import bulk_load, current_movies, normalize, replay, serving, stamp_loaded
+from catalogflow.plans.bulkload import prepare_movies
 from catalogflow.session import work_folder
+from catalogflow.sinks import message_per_row, to_replay
 from catalogflow.sources import replay_stream
 from catalogflow.streaming import (
     movies_job, ratings_job, reviews_job, running_averages, running_sentiment,
@@ -109,24 +114,175 @@ def stream_snapshot(spark, sf):
     _run(reviews_job, _messages(spark, "reviews", reviews), tables, f"{checkpoints}/reviews")
     messages = _messages(spark, "movies", _counted(movies))
     _run(movies_job, messages, dimensions.get, tables, f"{checkpoints}/movies")
-    snapshot = movie_snapshot(
-        tables.read(spark, "movies"),
-        tables.read(spark, "rating_totals"),
-        tables.read(spark, "review_totals"),
-    )
+    return _films(spark, tables)
+
+
+def _films(spark, tables):
     counters = [f"{s}_reviews" for s in ("positive", "negative", "neutral")]
-    return snapshot.select("item_id", "title", "avgRating", *counters)
+    return current_movies(spark, tables).select("item_id", "title", "avgRating", *counters)
+
+
+@query(SNAPSHOT_SQL)
+def stream_snapshot_compacted(spark, sf):
+    """Films, ratings and reviews streamed, compacted twice on the way and vacuumed once."""
+    tables, checkpoints = _tables(spark)
+    ratings, reviews = t.ratings(spark, sf), t.reviews(spark, sf)
+    bulk_load({"movies": prepare_movies(t.movies(spark, sf))}, tables)
+    half = F.col("user_id") % 2 == 0
+    for n, part in enumerate((ratings.filter(half), ratings.filter(~half))):
+        _run(ratings_job, _messages(spark, "ratings", part), tables, f"{checkpoints}/ratings{n}")
+        for name in ("ratings", "rating_totals"):
+            tables.compact(spark, name)
+    tables.vacuum(spark, "rating_totals")
+    _run(reviews_job, _messages(spark, "reviews", reviews), tables, f"{checkpoints}/reviews")
+    tables.compact(spark, "review_totals")
+    return _films(spark, tables)
+
+
+@query(t.RATINGS)
+def stream_two_sources(spark, sf):
+    """Two topics, each with a checkpoint that counts from 0: neither replaces the other's rows."""
+    tables, checkpoints = _tables(spark)
+    ratings, half = t.ratings(spark, sf), F.col("user_id") % 2 == 0
+    for n, part in enumerate((ratings.filter(half), ratings.filter(~half))):
+        _run(ratings_job, _messages(spark, "ratings", part), tables, f"{checkpoints}/{n}")
+    return tables.read(spark, "ratings").select("item_id", "user_id", "rating")
 
 
 @query(
-    f"SELECT item_id, genre_id FROM ({t.names_sql('genres', 'pipe', 'genre_name')}) "
-    f"JOIN ({t.dimension_sql(*schemas.LISTS['genres'])}) USING (genre_name)"
+    f"SELECT item_id, count(*) AS facts, {t.AVERAGE} FROM ({t.RATINGS}) GROUP BY item_id"
 )
-def stream_movies_bridge(spark, sf):
-    """The genre bridge as the movies job appends it."""
+def stream_broken_batch(spark, sf):
+    """Facts of a batch that broke before its totals stay unseen, and the restart repeats it."""
+    tables, checkpoints = _tables(spark)
+    messages = _messages(spark, "ratings", t.ratings(spark, sf))
+    try:
+        _run(ratings_job, messages, _Breaking(tables.root), f"{checkpoints}/ratings")
+    except StreamingQueryException:
+        pass
+    seen = tables.read(spark, "ratings").groupBy("item_id").count()
+    summed = add_rating_totals(tables.read(spark, "rating_totals"))
+    torn = seen.join(summed, "item_id", "full").filter(
+        ~F.col("count").eqNullSafe(F.col("rating_count"))
+    )
+    if not torn.isEmpty():
+        raise AssertionError("facts without their totals are visible")
+    _run(ratings_job, messages, tables, f"{checkpoints}/ratings")
+    facts = tables.read(spark, "ratings").groupBy("item_id").agg(F.count("*").alias("facts"))
+    totals = add_rating_totals(tables.read(spark, "rating_totals"))
+    return facts.join(totals.select("item_id", average().alias("avgRating")), "item_id")
+
+
+class _Breaking(Tables):
+    """Fails once between the facts and the totals of the second batch."""
+
+    def append(self, frame, name, batch_id, run):
+        if name == "rating_totals" and batch_id == 1:
+            raise RuntimeError("lost connection")
+        super().append(frame, name, batch_id, run)
+
+
+@query(
+    "SELECT CASE WHEN bad THEN 'quarantine' ELSE 'ratings' END AS place, count(*) AS n FROM "
+    "(SELECT l_suppkey % 10 < 5 AS bad FROM lineitem) GROUP BY ALL"
+)
+def stream_quarantine(spark, sf):
+    """Ratings that no total can hold go to quarantine, and the job goes on."""
+    tables, checkpoints = _tables(spark)
+    wrong = F.element_at(
+        F.array(*map(F.lit, ["1e20", "NaN", "Infinity", "four", "1e400"])),
+        (F.col("user_id") % 10 + 1).cast("int"),
+    )
+    rating = F.when(F.col("user_id") % 10 < 5, wrong).otherwise(F.col("rating").cast("string"))
+    sent = t.ratings(spark, sf).withColumn("rating", rating)
+    path = work_folder(spark, "topic-ratings")
+    to_replay(message_per_row(sent), path, None)
+    _run(ratings_job, replay_stream(spark, path), tables, f"{checkpoints}/ratings")
+    kept = tables.read(spark, "ratings").select(F.lit("ratings").alias("place"))
+    bad = tables.read(spark, "quarantine_ratings").select(F.lit("quarantine").alias("place"))
+    return kept.unionByName(bad).groupBy("place").agg(F.count("*").alias("n"))
+
+
+@query(
+    f"SELECT title, count(*) AS ratings FROM ({t.RATINGS}) JOIN ({t.MOVIES}) USING (item_id) "
+    "GROUP BY title"
+)
+def live_ratings_per_title(spark, sf):
+    """Ratings per title over the live tables."""
+    tables, checkpoints = _tables(spark)
+    bulk_load({"movies": prepare_movies(t.movies(spark, sf))}, tables)
+    messages = _messages(spark, "ratings", t.ratings(spark, sf))
+    _run(ratings_job, messages, tables, f"{checkpoints}/ratings")
+    return serving.live_ratings_per_title(spark, tables)
+
+
+@query(t.RATINGS + " WHERE l_linestatus = 'F'")
+def live_recent(spark, sf):
+    """Rows of the last hour: those streamed just now, not those loaded as older."""
+    tables, checkpoints = _tables(spark)
+    lines = t.load(spark, sf, "lineitem")
+    old, new = (
+        lines.filter(F.col("l_linestatus") == s).select(
+            F.col("l_partkey").alias("item_id"),
+            F.col("l_suppkey").alias("user_id"),
+            F.col("l_quantity").alias("rating"),
+        )
+        for s in "OF"
+    )
+    bulk_load({"ratings": stamp_loaded(old)}, tables)
+    _run(ratings_job, _messages(spark, "ratings", new), tables, f"{checkpoints}/ratings")
+    found = tables.recent(spark, "ratings", F.current_timestamp(), timedelta(hours=1))
+    return found.select("item_id", "user_id", "rating")
+
+
+def _known_sql(listed: str) -> str:
+    column, kind, id_name, name = schemas.LISTS[listed]
+    return (
+        f"SELECT item_id, {id_name}, {name} FROM ({t.names_sql(column, kind, name)}) "
+        f"JOIN ({t.dimension_sql(column, kind, id_name, name)}) USING ({name})"
+    )
+
+
+def _streamed_movies(spark, sf, gaps: bool = False):
+    """The tables after the movies job; with ``gaps`` every third dimension entry is missing."""
     tables, checkpoints = _tables(spark)
     movies = t.movies(spark, sf)
     dimensions = {n: normalize(movies, *listed).dimension for n, listed in schemas.LISTS.items()}
+    if gaps:
+        dimensions = {
+            n: d.filter(F.col(schemas.LISTS[n][2]) % 3 != 0) for n, d in dimensions.items()
+        }
     messages = _messages(spark, "movies", _counted(movies))
     _run(movies_job, messages, dimensions.get, tables, f"{checkpoints}/movies")
+    return tables
+
+
+@query(f"SELECT item_id, genre_id FROM ({_known_sql('genres')})")
+def stream_movies_bridge(spark, sf):
+    """The genre bridge as the movies job appends it."""
+    tables = _streamed_movies(spark, sf)
     return tables.read(spark, "movies_genres").select("item_id", "genre_id")
+
+
+@query(f"SELECT item_id, actor_id FROM ({_known_sql('actors')}) WHERE actor_id % 3 <> 0")
+def stream_bridge_actors(spark, sf):
+    tables = _streamed_movies(spark, sf, gaps=True)
+    return tables.read(spark, "movies_actors").select("item_id", "actor_id")
+
+
+@query(f"SELECT item_id, director_id FROM ({_known_sql('directors')}) WHERE director_id % 3 <> 0")
+def stream_bridge_directors(spark, sf):
+    tables = _streamed_movies(spark, sf, gaps=True)
+    return tables.read(spark, "movies_directors").select("item_id", "director_id")
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS kind, {name} AS name, item_id FROM ({_known_sql(n)}) WHERE {id_name} % 3 = 0"
+        for n, (_, _, id_name, name) in schemas.LISTS.items()
+    )
+)
+def stream_unmatched(spark, sf):
+    """Names that the dimensions lack."""
+    tables = _streamed_movies(spark, sf, gaps=True)
+    return tables.read(spark, "unmatched").drop("batch_id")

@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Decimal sums are exact, so results do not depend on the order of addition.
-_RATING = "decimal(18,4)"
+RATING = "decimal(18,4)"
 
 
 def rating_totals(ratings: DataFrame) -> DataFrame:
-    """item_id, rating_sum, rating_count; batch and stream alike. Null ratings do not count."""
-    rating = F.col("rating").cast(_RATING)
+    """item_id, rating_sum, rating_count; batch and stream alike.
+
+    Ratings that are null, no number or beyond the decimal's range do not count.
+    """
+    rating = F.col("rating").try_cast(RATING)
     return ratings.groupBy("item_id").agg(
         F.sum(rating).cast("decimal(28,4)").alias("rating_sum"),
         F.count(rating).alias("rating_count"),

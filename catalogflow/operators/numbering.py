@@ -71,37 +71,6 @@ def number_values(
     return number_rows(first, "_first", value, name=name, start=start).select(name, value)
 
 
-_ACCURACY = 10_000
-
-
-def _leading(frame: DataFrame, n: int, column: str) -> DataFrame:
-    """Rows that can be among the first ``n`` by ``column``; far fewer than all, if possible.
-
-    The cut is an approximate quantile placed above the wanted one by twice its error
-    bound, and its reach is counted before it is relied on.
-    """
-    if not isinstance(frame.schema[column].dataType, T.NumericType):
-        return frame
-    known = frame.agg(F.count(column)).first()[0]
-    share = n / known + 2 / _ACCURACY if known else 1.0
-    if share >= 1:
-        return frame
-    cut = frame.agg(F.percentile_approx(column, share, _ACCURACY)).first()[0]
-    reached = frame.filter(F.col(column).isNull() | (F.col(column) <= F.lit(cut)))
-    return reached if reached.count() >= n else frame
-
-
-def first_in_order(frame: DataFrame, n: int, *order: str) -> DataFrame:
-    """The first ``n`` rows, for an ``n`` too large to gather in one task.
-
-    Ties are broken by the remaining columns, so the rows chosen do not depend on layout.
-    A numeric first column lets most rows be left out before the sort.
-    """
-    keys = list(order) + [c for c in frame.columns if c not in order]
-    numbered = number_rows(_leading(frame, n, keys[0]), *keys, name="_n")
-    return numbered.filter(F.col("_n") <= n).drop("_n")
-
-
 def factorize(
     frame: DataFrame, column: str, *order: str, code: str = "code"
 ) -> tuple[DataFrame, DataFrame]:

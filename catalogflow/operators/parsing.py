@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalogflow import schemas
+from catalogflow.operators.aggregates import RATING
 
 
 def _payload() -> Column:
@@ -29,11 +30,20 @@ def _objects(messages: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def _typed(fields: DataFrame, types: dict[str, str], required: list[str]) -> DataFrame:
-    """Cast text fields; ``required`` ones must be there after the cast."""
+def _typed(
+    fields: DataFrame,
+    types: dict[str, str],
+    required: list[str],
+    fits: dict[str, str] | None = None,
+) -> DataFrame:
+    """Cast text fields; ``required`` ones must be there after the cast.
+
+    Fields named in ``fits`` must also convert from their type to the one given there.
+    """
     ok = F.lit(True)
     for name, target in types.items():
-        usable = F.col(name).try_cast(target).isNotNull()
+        value = F.col(name).try_cast(target)
+        usable = (value.try_cast(fits[name]) if name in (fits or {}) else value).isNotNull()
         ok = ok & (usable if name in required else F.col(name).isNull() | usable)
     return fields.select(
         *[F.col(c).try_cast(k).alias(c) for c, k in types.items()],
@@ -45,7 +55,9 @@ def _typed(fields: DataFrame, types: dict[str, str], required: list[str]) -> Dat
 def parse_ratings(messages: DataFrame) -> DataFrame:
     """item_id, user_id, rating."""
     types = {"item_id": "bigint", "user_id": "bigint", "rating": "double"}
-    return _typed(_objects(messages, schemas.RATING_MESSAGE), types, ["item_id"])
+    # A rating has to fit the decimal that totals are kept in, which rules out NaN as well.
+    fits = {"rating": RATING}
+    return _typed(_objects(messages, schemas.RATING_MESSAGE), types, ["item_id"], fits)
 
 
 def parse_reviews(messages: DataFrame) -> DataFrame:
@@ -71,7 +83,9 @@ def parse_movies(messages: DataFrame) -> DataFrame:
     counters = ["positive_reviews", "negative_reviews", "neutral_reviews"]
     types = {c: "string" for c in schemas.MOVIE_FIELDS} | {"item_id": "bigint"}
     types |= {c: "bigint" for c in counters}
-    rows = _typed(fields, types, ["item_id", "title"])
+    # A counter may travel as "0.0", as tables with gaps write whole numbers.
+    whole = {c: F.regexp_replace(c, r"^\s*([+-]?\d+)\.0*\s*$", "$1") for c in counters}
+    rows = _typed(fields.withColumns(whole), types, ["item_id", "title"])
     return rows.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in counters})
 
 

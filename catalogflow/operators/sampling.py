@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalogflow.operators.numbering import first_in_order
+from catalogflow.operators.numbering import number_rows
 
 SEED = 42
-# Up to here every task hands over its n best rows; beyond, rows are numbered.
-TOP_N_LIMIT = 1_000
 
 
 def draw(key: str, seed: int = SEED) -> Column:
@@ -20,16 +18,20 @@ def draw(key: str, seed: int = SEED) -> Column:
 def sample_rows(frame: DataFrame, n: int, key: str, seed: int = SEED) -> DataFrame:
     """The ``n`` rows with the least draws.
 
-    A small sample is a top-n, merged from at most ``n`` rows per task. A larger one
-    would gather too much in that merge and is cut from a distributed order instead.
+    Rows are counted by the leading 16 bits of their draw, which tells the least bound that
+    ``n`` rows lie under; only those few more than ``n`` are then put in order and numbered.
     """
     rest = [c for c in frame.columns if c != key]
-    if n <= TOP_N_LIMIT:
-        return frame.orderBy(draw(key, seed), key, *rest).limit(n)
-    # The leading 60 bits of the draw order rows as its text does, and as a number.
-    leading = F.conv(F.substring(draw(key, seed), 1, 15), 16, 10).cast("bigint")
-    drawn = frame.select(leading.alias("_lead"), draw(key, seed).alias("_draw"), "*")
-    return first_in_order(drawn, n, "_lead", "_draw", key, *rest).select(*frame.columns)
+    drawn = frame.select(draw(key, seed).alias("_draw"), "*")
+    lead = F.coalesce(F.conv(F.substring("_draw", 1, 4), 16, 10).cast("int"), F.lit(-1))
+    counts = drawn.groupBy(lead.alias("_lead")).count()
+    # At most 65,537 rows meet here, whatever the size of the table.
+    reached = F.sum("count").over(Window.orderBy("_lead"))
+    bounds = counts.select("_lead", reached.alias("_reached")).filter(F.col("_reached") >= n)
+    bound = bounds.agg(F.min("_lead")).first()[0]
+    near = drawn if bound is None else drawn.filter(lead <= bound)
+    numbered = number_rows(near, "_draw", key, *rest, name="_n")
+    return numbered.filter(F.col("_n") <= n).select(*frame.columns)
 
 
 def in_fraction(key: str, fraction: float, seed: int = SEED) -> Column:

@@ -9,16 +9,12 @@ from pyspark.sql import functions as F
 
 from catalogflow.functions import ago_text, sentiment, title_year
 from catalogflow.operators.aggregates import rating_totals, review_totals
-from catalogflow.operators.numbering import first_in_order
 from catalogflow.plans.holdout import COUNTERS
-from catalogflow.sinks import append_rows, create_table, replace_table
+from catalogflow.sinks import append_batch, create_table, replace_table
 from catalogflow.tables import SCHEMAS, Tables
 
-# Age given to loaded rows, and the number of rows loaded at most when a
-# capped load is asked for.
+# Fixed value: age given to loaded rows.
 LOADED_DAYS_AGO = 7
-RATINGS_CAP = 1_900_000
-REVIEWS_CAP = 400_000
 
 
 def stamp_loaded(frame: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -46,16 +42,12 @@ def prepare_reviews(
     return stamp_loaded(reviews.withColumn("sentiment", label), as_of)
 
 
-def capped(frame: DataFrame, cap: int | None, *order: str) -> DataFrame:
-    """The first ``cap`` rows in ``order``, or all of them."""
-    return frame if cap is None else first_in_order(frame, cap, *order)
-
-
 def bulk_load(frames: Mapping[str, DataFrame], tables: Tables) -> None:
     """Replace each table by the given rows, as one batch ahead of all streamed ones.
 
     Live tables take their column types from their schema. Ratings and reviews also leave
-    their totals, so later averages and counters cover loaded and streamed rows alike.
+    their totals, made from the two columns just written, so later averages and counters
+    cover loaded and streamed rows alike.
     Other tables, such as dimensions, are replaced as they are.
     """
     totals = {"ratings": rating_totals, "reviews": review_totals}
@@ -65,7 +57,8 @@ def bulk_load(frames: Mapping[str, DataFrame], tables: Tables) -> None:
             continue
         tables.replace(frame, name)
         if name in totals:
-            tables.replace(totals[name](frame), f"{name.removesuffix('s')}_totals")
+            written = tables.read(frame.sparkSession, name)
+            tables.replace(totals[name](written), f"{name.removesuffix('s')}_totals")
 
 
 def load_in_parts(parts: list[DataFrame], table: str) -> None:
@@ -73,4 +66,4 @@ def load_in_parts(parts: list[DataFrame], table: str) -> None:
     first = parts[0]
     create_table(first.sparkSession, table, first.schema)
     for n, part in enumerate(parts):
-        append_rows(part, f"{table}/batch_id={n}")
+        append_batch(part, table, n)

@@ -8,18 +8,12 @@ from pyspark.sql import functions as F
 from catalogflow.sinks import message_per_row, messages_of_ten, to_replay
 
 
-# Messages per second of each topic, slow and fast.
-RATES = {"movies": (0.5, 0.5), "ratings": (2, 5), "reviews": (0.4, 4)}
-
-
-def messages_per_file(rate: float, seconds: float) -> int:
-    """File size at which one file per trigger interval makes ``rate`` messages a second."""
-    return max(1, round(rate * seconds))
-
-
 def wire_ratings(ratings: DataFrame, truncate: bool = True) -> DataFrame:
-    """Ratings as sent: whole numbers, half stars cut off unless ``truncate`` is false."""
-    rating = F.col("rating").cast("bigint") if truncate else F.col("rating")
+    """Ratings as sent: whole numbers, half stars cut off unless ``truncate`` is false.
+
+    A rating that is no number, or too large for one, is sent as null.
+    """
+    rating = F.col("rating").try_cast("bigint") if truncate else F.col("rating")
     return ratings.select(
         F.col("item_id").cast("bigint").alias("item_id"),
         F.col("user_id").cast("bigint").alias("user_id"),

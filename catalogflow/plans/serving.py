@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogflow.operators.aggregates import ratings_per_title
 from catalogflow.operators.keys import recent
+from catalogflow.plans.snapshot import movie_snapshot
+from catalogflow.tables import Tables
+
+
+def current_movies(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Films with the averages and counters of everything loaded and streamed."""
+    movies = tables.read(spark, "movies").drop("batch_id")
+    totals = [tables.read(spark, f"{kind}_totals") for kind in ("rating", "review")]
+    return movie_snapshot(movies, *totals)
+
+
+def live_ratings_per_title(spark: SparkSession, tables: Tables) -> DataFrame:
+    return ratings_per_title(tables.read(spark, "ratings"), tables.read(spark, "movies"))
 
 
 def rated_movies(ratings: DataFrame, movies: DataFrame) -> DataFrame:

@@ -43,6 +43,9 @@ RATING_TOTALS = _schema(item_id=_LONG, rating_sum=T.DecimalType(28, 4), rating_c
 REVIEW_TOTALS = _schema(item_id=_LONG, positive=_LONG, negative=_LONG, neutral=_LONG)
 
 QUARANTINE = _schema(topic=_TEXT, raw=_TEXT, ingest_ts=_INSTANT)
+# The entry of a committed batch, and that of a compacted one: the batches it stands for.
+COMMIT = _schema(committed_at=_INSTANT)
+COMPACTION = _schema(of_run=_TEXT, of_batch=_LONG, committed_at=_INSTANT)
 UNMATCHED = _schema(kind=_TEXT, name=_TEXT, item_id=_LONG)
 
 

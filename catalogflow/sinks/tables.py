@@ -2,56 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalogflow.sources.files import read_table
 from catalogflow.sources.jdbc import jdbc_options
 
+# The run of the empty batch that a new table begins with.
+EMPTY_RUN = "none"
 
-def append_batch(frame: DataFrame, table: str, batch_id: int) -> None:
-    """Add a batch to an append-only table; writing the same id again changes nothing.
 
-    Each batch owns one ``batch_id=`` folder, so a retry replaces exactly what the
-    failed attempt left behind.
-    """
-    frame.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
-
-
-def create_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
-    """An empty append-only table, unless there is one already."""
-    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-    spark.range(0).select(*nothing).write.mode("ignore").parquet(f"{table}/batch_id=-1")
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder and all below it, wherever Spark can write."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def compact(
-    spark: SparkSession,
-    table: str,
-    target: str,
-    schema: T.StructType,
-    through: int,
-    combine: Callable[[DataFrame], DataFrame] | None = None,
-) -> None:
-    """Copy the batches up to ``through`` into one batch of another table.
+def append_batch(frame: DataFrame, table: str, batch_id: int, run: str = "0") -> None:
+    """Add a batch to an append-only table; writing it again changes nothing.
 
-    ``combine`` may shrink additive totals on the way. The source is left as it is, so a
-    running job and its readers are not disturbed; readers then take the compacted table
-    and the source's batches after ``through`` (``read_compacted``).
+    Each batch owns one folder, named by the run that counts it and its number, so a retry
+    replaces exactly what the failed attempt left behind, and a run that counts from 0 again
+    (a new checkpoint, another topic) replaces nothing of an older one.
     """
-    old = read_table(spark, table, schema).filter(F.col("batch_id") <= through)
-    rows = old.drop("batch_id")
-    append_batch(combine(rows) if combine else rows, target, through)
+    frame.write.mode("overwrite").parquet(f"{table}/run={run}/batch_id={batch_id}")
 
 
-def read_compacted(
-    spark: SparkSession, table: str, target: str, schema: T.StructType, through: int
-) -> DataFrame:
-    """All batches: those up to ``through`` from ``target``, later ones from ``table``."""
-    done = read_table(spark, target, schema).filter(F.col("batch_id") == through)
-    return done.unionByName(read_table(spark, table, schema, since=through + 1))
+def create_table(
+    spark: SparkSession, table: str, schema: T.StructType, replace: bool = False
+) -> None:
+    """An empty append-only table, unless there is one already; with ``replace`` in any case."""
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    empty = spark.range(0).select(*nothing)
+    if replace:
+        delete_folder(spark, table)
+    empty.write.mode("ignore").parquet(f"{table}/run={EMPTY_RUN}/batch_id=-1")
 
 
 def _with_types(frame: DataFrame, types: Mapping[str, str]) -> DataFrame:

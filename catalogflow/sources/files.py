@@ -33,15 +33,21 @@ def read_csv(
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType, since: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    since: int | None = None,
+    with_run: bool = False,
 ) -> DataFrame:
     """An append-only table written by ``sinks.append_batch``, ``batch_id`` included.
 
-    ``since`` keeps batches from that id on; it prunes folders, not rows.
+    ``since`` keeps batches from that id on; it prunes folders, not rows. All batches are read,
+    committed or not (``tables.Tables.read`` takes the committed ones).
     """
-    full = T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])
-    table = spark.read.schema(full).parquet(path)
-    return table if since is None else table.filter(table.batch_id >= since)
+    places = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
+    table = spark.read.schema(T.StructType(schema.fields + places)).parquet(path)
+    table = table if since is None else table.filter(table.batch_id >= since)
+    return table if with_run else table.drop("run")
 
 
 def first_rows(frame: DataFrame, n: int) -> DataFrame:

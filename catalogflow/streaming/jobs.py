@@ -1,15 +1,15 @@
 """The three topic jobs: parse, stamp, append facts and additive totals.
 
 A batch is parsed once and persisted; every table it feeds is written from that copy by
-the executors. Facts and totals carry the batch id as a folder, so a repeated batch
-replaces itself. Averages and counters are never updated in place: they follow from the
+the executors. Facts and totals lie in folders named by the query and the batch, so a repeated
+batch replaces itself and no other; a commit entry, written last, shows them together. Averages and counters are never updated in place: they follow from the
 totals (``plans.movie_snapshot``), whatever the order in which batches arrived.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import ExitStack, contextmanager
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -22,8 +22,8 @@ from catalogflow.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS
 from catalogflow.operators.aggregates import rating_totals, review_totals
 from catalogflow.operators.keys import with_keys
 from catalogflow.operators.parsing import parse_movies, parse_ratings, parse_reviews
-from catalogflow.plans.normalize import list_names, lookup, unmatched
-from catalogflow.streaming.runner import ONCE, run_stream
+from catalogflow.plans.normalize import list_names
+from catalogflow.streaming.runner import ONCE, query_id, run_stream
 from catalogflow.tables import Tables
 
 Dimensions = Callable[[str], DataFrame]
@@ -48,9 +48,26 @@ def stamped(rows: DataFrame, as_of=None) -> DataFrame:
     return rows.withColumn("ingest_ts", now).withColumn("timestamp", local_text(F.col("ingest_ts")))
 
 
-def _quarantine(tables: Tables, batch: DataFrame, topic: str, batch_id: int) -> None:
-    bad = batch.filter("not ok").withColumn("topic", F.lit(topic))
-    tables.append(bad, f"quarantine_{topic}", batch_id)
+class _Writer:
+    """Writes the tables of one batch; leaving it without an error commits them together."""
+
+    def __init__(self, tables: Tables, batch: DataFrame, batch_id: int):
+        self.tables, self.spark = tables, batch.sparkSession
+        self.batch_id, self.run = batch_id, query_id(batch)
+
+    def append(self, frame: DataFrame, name: str) -> None:
+        self.tables.append(frame, name, self.batch_id, self.run)
+
+    def quarantine(self, batch: DataFrame, topic: str) -> None:
+        bad = batch.filter("not ok").withColumn("topic", F.lit(topic))
+        self.append(bad, f"quarantine_{topic}")
+
+    def __enter__(self) -> _Writer:
+        return self
+
+    def __exit__(self, error, *_) -> None:
+        if error is None:
+            self.tables.commit(self.spark, self.batch_id, self.run)
 
 
 def ratings_job(
@@ -60,11 +77,11 @@ def ratings_job(
     tables.create(messages.sparkSession, "ratings", "rating_totals", "quarantine_ratings")
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        with _kept(batch):
+        with _kept(batch), _Writer(tables, batch, batch_id) as out:
             good = batch.filter("ok")
-            tables.append(good, "ratings", batch_id)
-            tables.append(rating_totals(good), "rating_totals", batch_id)
-            _quarantine(tables, batch, "ratings", batch_id)
+            out.append(good, "ratings")
+            out.append(rating_totals(good), "rating_totals")
+            out.quarantine(batch, "ratings")
 
     return run_stream(stamped(parse_ratings(messages)), process, checkpoint, trigger)
 
@@ -81,11 +98,11 @@ def reviews_job(
     tables.create(messages.sparkSession, "reviews", "review_totals", "quarantine_reviews")
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        with _kept(batch):
+        with _kept(batch), _Writer(tables, batch, batch_id) as out:
             good = batch.filter("ok")
-            tables.append(good, "reviews", batch_id)
-            tables.append(review_totals(good), "review_totals", batch_id)
-            _quarantine(tables, batch, "reviews", batch_id)
+            out.append(good, "reviews")
+            out.append(review_totals(good), "review_totals")
+            out.quarantine(batch, "reviews")
 
     scored = parse_reviews(messages).withColumn(
         "sentiment", sentiment(F.col("txt"), positive, negative)
@@ -93,6 +110,22 @@ def reviews_job(
     return run_stream(stamped(scored), process, checkpoint, trigger)
 
 
+def _listed_names(films: DataFrame, dimensions: Dimensions) -> DataFrame:
+    """kind, item_id, name and the id that the kind's dimension knows it by, or null."""
+    found = []
+    for listed, (column, kind, id_name, name) in schemas.LISTS.items():
+        names = list_names(films, column, kind, name)
+        # Only the entries this batch needs: a large dimension is scanned once and never
+        # shuffled as long as the batch's names are few.
+        needed = with_keys(dimensions(listed).select(id_name, name), names, name)
+        found.append(
+            names.join(needed, name, "left").select(
+                F.lit(listed).alias("kind"), "item_id", F.col(name).alias("name"), F.col(id_name).alias("id")
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 def movies_job(
     messages: DataFrame,
     dimensions: Dimensions,
@@ -103,31 +136,22 @@ def movies_job(
     """Movies topic to ``movies``, three bridge tables and the names no dimension knows.
 
     ``dimensions(list_name)`` is called in every batch, so entries added since the last
-    one are seen. It returns the id and name columns of ``schemas.LISTS``.
+    one are seen. It returns the id and name columns of ``schemas.LISTS``. All lists of a
+    batch are cut and looked up once; bridges and unmatched names are parts of that result.
     """
     bridges = [f"movies_{n}" for n in schemas.LISTS]
     tables.create(messages.sparkSession, "movies", "unmatched", "quarantine_movies", *bridges)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        with ExitStack() as kept:
-            kept.enter_context(_kept(batch))
+        with _kept(batch), _Writer(tables, batch, batch_id) as out:
             good = batch.filter("ok")
             films = good.withColumn("year", title_year(F.col("title")))
-            tables.append(films.withColumn("avgRating", F.lit(0.0)), "movies", batch_id)
-            missing = []
-            for listed, (column, kind, id_name, name) in schemas.LISTS.items():
-                names = list_names(good, column, kind, name)
-                # Only the entries this batch needs: a large dimension is scanned once
-                # and never shuffled as long as the batch's names are few.
-                needed = with_keys(dimensions(listed).select(id_name, name), names, name)
-                known = kept.enter_context(_kept(needed))
-                tables.append(lookup(names, known, name, id_name), f"movies_{listed}", batch_id)
-                missing.append(
-                    unmatched(names, known, name).select(
-                        F.lit(listed).alias("kind"), F.col(name).alias("name"), "item_id"
-                    )
-                )
-            tables.append(reduce(DataFrame.unionByName, missing), "unmatched", batch_id)
-            _quarantine(tables, batch, "movies", batch_id)
+            out.append(films.withColumn("avgRating", F.lit(0.0)), "movies")
+            with _kept(_listed_names(good, dimensions)) as names:
+                for listed, (_, _, id_name, _) in schemas.LISTS.items():
+                    known = names.filter((F.col("kind") == listed) & F.col("id").isNotNull())
+                    out.append(known.withColumnRenamed("id", id_name), f"movies_{listed}")
+                out.append(names.filter("id is null"), "unmatched")
+            out.quarantine(batch, "movies")
 
     return run_stream(stamped(parse_movies(messages)), process, checkpoint, trigger)

@@ -13,6 +13,14 @@ ONCE = "once"
 INTERVALS = {"movies": "10 seconds", "ratings": "5 seconds", "reviews": "5 seconds"}
 
 
+def query_id(batch: DataFrame) -> str:
+    """The id of the query whose batch this is: kept in its checkpoint, new with a new one."""
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise RuntimeError("not called from a streaming query's batch")
+    return found
+
+
 def run_stream(
     frame: DataFrame,
     process: Callable[[DataFrame, int], None],

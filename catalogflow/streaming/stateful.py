@@ -13,20 +13,34 @@ from pyspark.sql.streaming import StreamingQuery
 
 from catalogflow import schemas
 from catalogflow.functions import sentiment
-from catalogflow.operators.aggregates import average, latest_per_key, rating_totals, review_totals
+from catalogflow.operators.aggregates import (
+    add_rating_totals, add_review_totals, average, rating_totals, review_totals,
+)
 from catalogflow.operators.parsing import accepted, parse_ratings, parse_reviews
 from catalogflow.sinks import append_batch, create_table
 from catalogflow.sources import read_table
-from catalogflow.streaming.runner import ONCE, run_stream
+from catalogflow.streaming.runner import ONCE, query_id, run_stream
 
 
 def _keep_versions(
     totals: DataFrame, table: str, checkpoint: str, trigger: str
 ) -> StreamingQuery:
-    """Write the changed totals of each batch as that batch's version."""
-    return run_stream(
-        totals, lambda batch, n: append_batch(batch, table, n), checkpoint, trigger, "update"
-    )
+    """Write the changed totals of each batch as that batch's version.
+
+    A batch comes in as many parts as the state has; it is written in parts of a useful size.
+    """
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        append_batch(batch.hint("rebalance"), table, batch_id, query_id(batch))
+
+    return run_stream(totals, process, checkpoint, trigger, "update")
+
+
+def _current(spark: SparkSession, table: str, schema) -> DataFrame:
+    """The newest version of each item in each query; a new checkpoint begins a new query."""
+    versions = read_table(spark, table, schema, with_run=True)
+    rest = [c for c in schema.names if c != "item_id"]
+    return versions.groupBy("run", "item_id").agg(*[F.max_by(c, "batch_id").alias(c) for c in rest])
 
 
 def running_averages(
@@ -48,11 +62,9 @@ def running_sentiment(
 
 def current_averages(spark: SparkSession, table: str) -> DataFrame:
     """item_id, avgRating from the newest version of each item."""
-    versions = read_table(spark, table, schemas.RATING_TOTALS)
-    latest = latest_per_key(versions, "item_id", "batch_id")
-    return latest.select("item_id", average().alias("avgRating"))
+    totals = add_rating_totals(_current(spark, table, schemas.RATING_TOTALS))
+    return totals.select("item_id", average().alias("avgRating"))
 
 
 def current_sentiment(spark: SparkSession, table: str) -> DataFrame:
-    versions = read_table(spark, table, schemas.REVIEW_TOTALS)
-    return latest_per_key(versions, "item_id", "batch_id")
+    return add_review_totals(_current(spark, table, schemas.REVIEW_TOTALS))

@@ -1,19 +1,29 @@
-"""The live tables: append-only, one folder per batch, below one root."""
+"""The live tables: append-only, one folder per run and batch, below one root.
+
+A batch is visible once its commit entry is there, which is written after all of its tables.
+So readers see a batch whole or not at all, whatever breaks between two writes. Compaction
+writes the visible batches of a table as one and, with a single entry, puts it in their place.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalogflow import schemas
-from catalogflow.sinks import append_batch, create_table
+from catalogflow.operators.aggregates import add_rating_totals, add_review_totals
+from catalogflow.operators.keys import by_key, recent
+from catalogflow.sinks.tables import append_batch, create_table, delete_folder
 from catalogflow.sources import read_table
 
-# Streamed batches count from 0; an empty table is -1; a first load is -2.
-LOADED = -2
+# Streamed batches count from 0 in each run; an empty table is -1; a first load is -2.
+LOADED, LOADED_RUN = -2, "load"
 
 _FIXED = {
     "movies": schemas.MOVIES,
@@ -27,6 +37,12 @@ _BRIDGES = {f"movies_{n}": schemas.bridge(listed[2]) for n, listed in schemas.LI
 _QUARANTINES = {f"quarantine_{n}": schemas.QUARANTINE for n in ("movies", "ratings", "reviews")}
 SCHEMAS: dict[str, T.StructType] = _FIXED | _BRIDGES | _QUARANTINES
 
+# What compaction may do to rows besides putting them together.
+COMBINE: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "rating_totals": add_rating_totals,
+    "review_totals": add_review_totals,
+}
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -36,26 +52,110 @@ class Tables:
         return f"{self.root}/{name}"
 
     def create(self, spark: SparkSession, *names: str) -> None:
+        """Empty tables and logs, where there are none."""
+        create_table(spark, self.path("_commits"), schemas.COMMIT)
         for name in names:
             create_table(spark, self.path(name), SCHEMAS[name])
+            create_table(spark, self._compactions(name), schemas.COMPACTION)
+
+    def _compactions(self, name: str) -> str:
+        return self.path(f"_compacted_{name}")
+
+    def append(self, frame: DataFrame, name: str, batch_id: int, run: str) -> None:
+        """Write one table of a batch; nobody sees it before ``commit``."""
+        append_batch(self._shaped(frame, name), self.path(name), batch_id, run)
+
+    def commit(self, spark: SparkSession, batch_id: int, run: str) -> None:
+        """Make all tables of a batch visible at once."""
+        entry = spark.range(1).select(F.current_timestamp().alias("committed_at")).coalesce(1)
+        append_batch(entry, self.path("_commits"), batch_id, run)
+
+    def visible(self, spark: SparkSession, name: str) -> DataFrame:
+        """run, batch_id and committed_at of the batches that make up a table now."""
+        commits = read_table(spark, self.path("_commits"), schemas.COMMIT, with_run=True)
+        first = spark.range(1).select(
+            F.lit(None).cast("timestamp").alias("committed_at"),
+            F.lit(LOADED_RUN).alias("run"),
+            F.lit(LOADED).cast("bigint").alias("batch_id"),
+        )
+        entries = read_table(spark, self._compactions(name), schemas.COMPACTION, with_run=True)
+        made = entries.groupBy("run", "batch_id").agg(F.max("committed_at").alias("committed_at"))
+        replaced = entries.select(F.col("of_run").alias("run"), F.col("of_batch").alias("batch_id"))
+        known = commits.unionByName(first).unionByName(made)
+        return known.join(replaced, ["run", "batch_id"], "left_anti")
 
     def read(self, spark: SparkSession, name: str, since: int | None = None) -> DataFrame:
-        return read_table(spark, self.path(name), SCHEMAS[name], since)
+        """The rows of all visible batches, ``batch_id`` included."""
+        rows = read_table(spark, self.path(name), SCHEMAS[name], since, with_run=True)
+        batches = self.visible(spark, name).select("run", "batch_id")
+        return rows.join(batches, ["run", "batch_id"], "left_semi").select(
+            *SCHEMAS[name].names, "batch_id"
+        )
+
+    def recent(
+        self, spark: SparkSession, name: str, as_of: Column, window: timedelta = timedelta(minutes=5)
+    ) -> DataFrame:
+        """Rows stamped within ``window`` before ``as_of``.
+
+        A batch is committed after its rows are stamped, so only folders committed since then
+        are read: their names are few, and become a filter on partitions.
+        """
+        late = self.visible(spark, name).filter(F.col("committed_at") > as_of - F.lit(window))
+        of_run: dict[str, list[int]] = {}
+        for r in late.select("run", "batch_id").distinct().collect():
+            of_run.setdefault(r.run, []).append(r.batch_id)
+        folders = F.lit(False)
+        for run, batches in sorted(of_run.items()):
+            folders |= (F.col("run") == run) & F.col("batch_id").isin(sorted(batches))
+        rows = read_table(spark, self.path(name), SCHEMAS[name], with_run=True).filter(folders)
+        return recent(rows.select(*SCHEMAS[name].names), as_of, window)
+
+    def lookup(self, spark: SparkSession, name: str, item_id: int) -> DataFrame:
+        """Rows of one film; the predicate reaches the scan."""
+        return by_key(self.read(spark, name), "item_id", item_id).drop("batch_id")
+
+    def compact(self, spark: SparkSession, name: str) -> None:
+        """Put the visible batches of a table together as one; totals are added up.
+
+        Readers that began before go on with the old folders, which stay until ``vacuum``.
+        """
+        batches = self.visible(spark, name).select("run", "batch_id").distinct()
+        rows = read_table(spark, self.path(name), SCHEMAS[name], with_run=True)
+        # One list for data and entry: a batch committed meanwhile stays as it is.
+        listed = [tuple(r) for r in batches.collect()]
+        if len(listed) < 2:
+            return
+        batches = spark.createDataFrame(listed, "run string, batch_id bigint")
+        kept = rows.join(batches, ["run", "batch_id"], "left_semi").drop("run", "batch_id")
+        run = f"compact-{uuid.uuid4().hex}"
+        combine = COMBINE.get(name, lambda frame: frame.hint("rebalance"))
+        append_batch(self._shaped(combine(kept), name), self.path(name), 0, run)
+        entry = batches.select(
+            F.col("run").alias("of_run"),
+            F.col("batch_id").alias("of_batch"),
+            F.current_timestamp().alias("committed_at"),
+        )
+        append_batch(entry.coalesce(1), self._compactions(name), 0, run)
 
-    def append(self, frame: DataFrame, name: str, batch_id: int) -> None:
-        """Write a batch; the same id written again replaces itself."""
-        append_batch(self._shaped(frame, name), self.path(name), batch_id)
+    def vacuum(self, spark: SparkSession, name: str) -> None:
+        """Delete the folders of compacted batches. Run it when no older reader is left."""
+        entries = read_table(spark, self._compactions(name), schemas.COMPACTION)
+        for run, batch_id in entries.select("of_run", "of_batch").distinct().collect():
+            delete_folder(spark, f"{self.path(name)}/run={run}/batch_id={batch_id}")
 
     def replace(self, frame: DataFrame, name: str) -> None:
         """Replace the whole table, streamed batches included, by a first load."""
+        self.create(frame.sparkSession, name)
         (
             self._shaped(frame, name)
-            .withColumn("batch_id", F.lit(LOADED))
+            .withColumns({"run": F.lit(LOADED_RUN), "batch_id": F.lit(LOADED)})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
-            .partitionBy("batch_id")
+            .partitionBy("run", "batch_id")
             .parquet(self.path(name))
         )
+        # What was compacted is gone with the rest.
+        create_table(frame.sparkSession, self._compactions(name), schemas.COMPACTION, replace=True)
 
     @staticmethod
     def _shaped(frame: DataFrame, name: str) -> DataFrame:
