@@ -19,11 +19,12 @@ the distance is a metric. Verification counts the overlap of the two multisets e
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +35,7 @@ from catalogflow.session import materialize
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
+PARITY_BITS = 1024
 BLOCK_BYTES = 3 << 20
 
 _PRIMES = [pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1 for k in range(SHINGLE)]
@@ -114,10 +116,41 @@ def _points(element, weight, doc, limit, low, width, m, into) -> None:
                 target.append(values[below])
 
 
+def sketches(found: np.ndarray) -> np.ndarray:
+    """Four bits of each component, sixteen components to a 64-bit number."""
+    nibbles = (found >> np.uint64(60)).reshape(len(found), -1, 16)
+    shifts = np.arange(0, 64, 4, dtype=np.uint64)
+    return np.bitwise_or.reduce(nibbles << shifts, axis=2).view(np.int64)
+
+
+def parities(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The parity of the counts in each of ``PARITY_BITS`` groups of runs."""
+    odd = (hashes[counts % 2 == 1] >> np.uint64(8)) % np.uint64(PARITY_BITS)
+    bits = np.bincount(odd.astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def unequal(a: str, b: str) -> Column:
+    """In how many groups the parities differ: at most the difference of the two multisets."""
+    found = [F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(PARITY_BITS // 64)]
+    return reduce(Column.__add__, found)
+
+
+def differing(a: str, b: str) -> Column:
+    """In how many components two sketches differ, up to one agreement in 16 by chance."""
+    total = F.lit(0)
+    for k in range(BANDS * ROWS // 16):
+        x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        total += F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
+
+
 def _signed(rows: DataFrame, id_type: T.DataType) -> DataFrame:
     """For each row: key of its words (null if none), number of shingles and bucket hashes."""
     schema = T.StructType([T.StructField("id", id_type)])
-    for field in T._parse_datatype_string("v bigint, key binary, n int, bands array<bigint>"):
+    for field in T._parse_datatype_string("v bigint, key binary, n int, bands array<bigint>, sketch array<bigint>, parity array<bigint>"):
         schema = schema.add(field)
 
     def run(batches):
@@ -131,6 +164,8 @@ def _signed(rows: DataFrame, id_type: T.DataType) -> DataFrame:
                 for k in range(ROWS):
                     band = mixed(band * np.uint64(0x9E3779B97F4A7C15) + found[:, :, k])
                 band = mixed(band ^ np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+                sketch = sketches(found.reshape(len(words), -1))
+                parity = [parities(*bag) for bag in bags]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
@@ -140,9 +175,12 @@ def _signed(rows: DataFrame, id_type: T.DataType) -> DataFrame:
                             pa.binary(),
                         ),
                         pa.array([int(c.sum()) for _, c in bags], pa.int32()),
-                        pa.array([b if w else None for b, w in zip(band, words)], pa.list_(pa.int64())),
+                        *(
+                            pa.array([x if w else None for x, w in zip(found, words)], pa.list_(pa.int64()))
+                            for found in (band, sketch, parity)
+                        ),
                     ],
-                    names=["id", "v", "key", "n", "bands"],
+                    names=["id", "v", "key", "n", "bands", "sketch", "parity"],
                 )
 
     return map_arrow(rows, run, schema)
@@ -205,7 +243,11 @@ def classes(
     node = F.struct(F.col("id").isNull().alias("none"), "id", "v")
     reps = materialize(
         worded.groupBy("key").agg(
-            F.min(node).alias("node"), F.min("n").alias("n"), F.min("bands").alias("bands")
+            F.min(node).alias("node"),
+            F.min("n").alias("n"),
+            F.min("bands").alias("bands"),
+            F.min("sketch").alias("sketch"),
+            F.min("parity").alias("parity"),
         ),
         "classes",
     )
@@ -231,7 +273,7 @@ def classes(
     links = scored.where(F.col("s") >= similarity).select("a", "b")
     roots = components(links)
 
-    rest = _rest(members, scored, roots, similarity)
+    rest = _rest(members, scored, roots, reps.select(F.col("node").alias("k_node"), "sketch", "parity"), similarity)
     more = _verify(rest, texts).where(F.col("s") >= similarity).select("a", "b")
     more = materialize(more, "more_links")
     if not more.isEmpty():
@@ -278,7 +320,13 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return alone.unionByName(chosen).select("row.*")
 
 
-def _rest(members: DataFrame, scored: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+def _rest(
+    members: DataFrame,
+    scored: DataFrame,
+    roots: DataFrame,
+    sketched: DataFrame,
+    similarity: float,
+) -> DataFrame:
     """Pairs that the hubs leave open.
 
     A member of a bucket is open if it is not in the hub's component. An open member near
@@ -286,7 +334,9 @@ def _rest(members: DataFrame, scored: DataFrame, roots: DataFrame, similarity: f
     distances to the hub rule a link out. Open members are paired with each other if they are
     open in two buckets together: many texts that share one long passage meet in the bucket of
     that passage, but few of them do so twice, while a pair at 0.8 is missed by fewer than two
-    buckets with probability 7e-4 only.
+    buckets with probability 7e-4 only. Of either kind only pairs are left whose sizes and parities
+    allow the link, and whose sketches differ in no more components than those of a pair at the
+    threshold do with probability 1 - 3e-5.
     """
     root_of = roots.select(F.col("node").alias("r_node"), "root")
     near = scored.select(F.col("a").alias("hub"), F.col("b").alias("node"), (1 - F.col("s")).alias("d"))
@@ -296,9 +346,21 @@ def _rest(members: DataFrame, scored: DataFrame, roots: DataFrame, similarity: f
     hubs = root_of.select(F.col("r_node"), F.col("root").alias("hub_root"))
     rows = rows.join(hubs, F.col("hub") == F.col("r_node"), "left").drop("r_node")
     rows = rows.withColumn("open", F.col("root") != F.coalesce("hub_root", "hub"))
-    rows = materialize(rows.select("bucket", "node", "n", "d", "root", "open"), "open")
+    rows = rows.select("bucket", "node", "n", "d", "root", "open")
+    # Only buckets with an open member leave anything to do.
+    wanted = rows.where("open").select("bucket").distinct()
+    rows = rows.join(wanted, "bucket", "left_semi").join(sketched, F.col("node") == F.col("k_node"))
+    rows = materialize(rows.drop("k_node"), "open")
     reach = 1 - similarity + 1e-9
     fits = F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * (similarity - 1e-9)
+    # The overlap is at most half of what the sizes leave over the unequal groups.
+    sizes = F.col("x.n") + F.col("y.n")
+    fits &= unequal("x.parity", "y.parity") * (1 + similarity) <= sizes * (1 - similarity) + 1e-6
+    # Four deviations from what a pair at the threshold is expected to differ in.
+    m = BANDS * ROWS
+    share = (1 - similarity) * 15 / 16
+    most = int(m * share + 4 * (m * share * (1 - share)) ** 0.5)
+    fits &= differing("x.sketch", "y.sketch") <= most
     x = rows.where(F.col("open") & (F.col("d") <= 2 * reach)).alias("x")
     y = rows.where("not open and d > 0").alias("y")
     near_hub = x.join(
@@ -310,13 +372,20 @@ def _rest(members: DataFrame, scored: DataFrame, roots: DataFrame, similarity: f
     )
     twice = (
         rows.where("open")
-        .groupBy("node", "n", "root")
-        .agg(F.array_sort(F.collect_set("bucket")).alias("own"))
+        .groupBy("node")
+        .agg(
+            F.first("n").alias("n"),
+            F.first("root").alias("root"),
+            F.first("sketch").alias("sketch"),
+            F.first("parity").alias("parity"),
+            F.array_sort(F.collect_set("bucket")).alias("own"))
         .where(F.size("own") > 1)
         .select(
             "node",
             "n",
             "root",
+            "sketch",
+            "parity",
             F.explode(
                 F.flatten(
                     F.transform(
