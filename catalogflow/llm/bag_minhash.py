@@ -159,7 +159,10 @@ def _signed(rows: DataFrame, id_type: T.DataType) -> DataFrame:
                 part = batch.slice(first, len(texts))
                 words = [words_of(t) for t in texts]
                 bags = [np.unique(shingle_hashes(w), return_counts=True) for w in words]
-                found = signatures(bags, BANDS * ROWS).reshape(len(words), BANDS, ROWS)
+                # Short texts have as many points as long ones: memory follows their number.
+                found = np.concatenate(
+                    [signatures(bags[i : i + 256], BANDS * ROWS) for i in range(0, len(bags), 256)]
+                ).reshape(len(words), BANDS, ROWS)
                 band = np.zeros((len(words), BANDS), np.uint64)
                 for k in range(ROWS):
                     band = mixed(band * np.uint64(0x9E3779B97F4A7C15) + found[:, :, k])
