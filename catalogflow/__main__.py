@@ -7,6 +7,8 @@
     python -m catalogflow replay --topic ratings --table split/ratings/split=stream --out topics/ratings
     python -m catalogflow stream --root live --dimensions tables --servers broker:9092
     python -m catalogflow snapshot --root live --out movies_now
+    python -m catalogflow compact --root live --vacuum
+    python -m catalogflow serve --root live --minutes 5
     python -m catalogflow profile --table movies
 
 Tables are read as CSV, JSON lines or Parquet by the ending of their path, JSON lines
@@ -17,6 +19,7 @@ spark-submit the package is given by ``--py-files``.
 from __future__ import annotations
 
 import argparse
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,11 +28,11 @@ from catalogflow import schemas
 from catalogflow.functions import title_year
 from catalogflow.operators.profiling import profile
 from catalogflow.plans import (
-    bulk_load, flagged_holdout, link_catalogue, merge_catalogue, movie_snapshot, normalize,
-    replay,
+    bulk_load, current_movies, flagged_holdout, link_catalogue, live_ratings_per_title,
+    merge_catalogue, normalize, replay,
 )
 from catalogflow.plans.bulkload import prepare_movies, prepare_reviews, stamp_loaded
-from catalogflow.session import build_session
+from catalogflow.session import build_session, clear_work_folders
 from catalogflow.sinks import replace_jdbc, split_jsonl, write_jsonl
 from catalogflow.sources import kafka_stream, read_csv, read_jdbc, read_jsonl, replay_stream
 from catalogflow.streaming import await_all, movies_job, ratings_job, reviews_job
@@ -37,35 +40,58 @@ from catalogflow.streaming.runner import INTERVALS, ONCE
 from catalogflow.tables import Tables
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame:
+def _read(spark: SparkSession, path: str, holds: str | None = None) -> DataFrame:
+    """A table by the ending of its path; what it ``holds`` gives the schema of a text file.
+
+    Only a table of unknown kind is read once more to infer its types.
+    """
+    schema = schemas.INPUTS.get(holds)
     if path.endswith(".csv"):
-        return read_csv(spark, path)
-    return spark.read.parquet(path) if path.endswith(".parquet") else read_jsonl(spark, path)
+        return read_csv(spark, path, schema)
+    return spark.read.parquet(path) if path.endswith(".parquet") else read_jsonl(spark, path, schema)
 
 
 def _named(spark: SparkSession, pairs: list[str]) -> dict[str, DataFrame]:
-    return {name: _read(spark, path) for name, path in (p.split("=", 1) for p in pairs)}
+    return {name: _read(spark, path, name) for name, path in (p.split("=", 1) for p in pairs)}
+
+
+def _dimension(spark: SparkSession, path: str, listed: str) -> DataFrame:
+    """A dimension as ``normalize`` writes it or as ``load`` does.
+
+    A file of another form reads as rows of nulls, which would leave every name unmatched; the
+    format is therefore taken from the files' names, and a dimension without ids is an error.
+    """
+    _, _, id_name, name = schemas.LISTS[listed]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    parquet = not files.filter(F.col("path").endswith(".parquet")).select("path").isEmpty()
+    found = spark.read.parquet(path) if parquet else read_jsonl(spark, path, schemas.INPUTS[listed])
+    if not found.isEmpty() and found.filter(F.col(id_name).isNotNull()).isEmpty():
+        raise ValueError(f"{path} holds no {id_name}")
+    return found.select(id_name, name)
 
 
 def merge(spark: SparkSession, args) -> None:
-    linked = link_catalogue(_read(spark, args.catalogue), _read(spark, args.links).drop("title"))
-    write_jsonl(merge_catalogue(_read(spark, args.metadata), linked), args.out)
+    linked = link_catalogue(
+        _read(spark, args.catalogue, "catalogue"), _read(spark, args.links, "links").drop("title")
+    )
+    write_jsonl(merge_catalogue(_read(spark, args.metadata, "metadata"), linked), args.out)
 
 
 def normalize_lists(spark: SparkSession, args) -> None:
-    movies = _read(spark, args.movies)
+    movies = _read(spark, args.movies, "movies")
     for name, (column, kind, id_name, label) in schemas.LISTS.items():
         parts = normalize(movies, column, kind, id_name, label, args.keep_null, args.drop_empty)
         write_jsonl(parts.dimension, f"{args.out}/{name}")
         write_jsonl(parts.bridge, f"{args.out}/movies_{name}")
-    rest = movies.drop(*[column for column, *_ in schemas.LISTS.values()])
+    counted = ("year", "positive_reviews", "negative_reviews", "neutral_reviews")
+    rest = movies.drop(*[column for column, *_ in schemas.LISTS.values()], *counted)
     write_jsonl(rest.withColumn("year", title_year(F.col("title"))), f"{args.out}/movies")
 
 
 def split(spark: SparkSession, args) -> None:
     how = {"fraction": args.fraction} if args.fraction is not None else {"n": args.films}
     tables = _named(spark, args.table)
-    flagged = flagged_holdout(_read(spark, args.movies), tables, seed=args.seed, **how)
+    flagged = flagged_holdout(_read(spark, args.movies, "movies"), tables, seed=args.seed, **how)
     for name, frame in flagged.items():
         split_jsonl(frame, "split", f"{args.out}/{name}")
 
@@ -84,7 +110,7 @@ def load(spark: SparkSession, args) -> None:
 
 
 def replay_table(spark: SparkSession, args) -> None:
-    replay(args.topic, _read(spark, args.table), args.out, args.per_file)
+    replay(args.topic, _read(spark, args.table, args.topic), args.out, args.per_file)
 
 
 def stream(spark: SparkSession, args) -> None:
@@ -96,11 +122,9 @@ def stream(spark: SparkSession, args) -> None:
         return replay_stream(spark, f"{args.replay}/{topic}", args.max_files)
 
     def dimension(listed: str) -> DataFrame:
-        _, _, id_name, name = schemas.LISTS[listed]
         if args.dimensions.startswith("jdbc:"):
             return read_jdbc(spark, url=args.dimensions, table=listed)
-        shape = schemas.dimension(id_name, name)
-        return read_jsonl(spark, f"{args.dimensions}/{listed}", shape)
+        return _dimension(spark, f"{args.dimensions}/{listed}", listed)
 
     def settings(topic: str) -> tuple[str, str]:
         return f"{args.root}/checkpoints/{topic}", ONCE if args.once else INTERVALS[topic]
@@ -115,18 +139,41 @@ def stream(spark: SparkSession, args) -> None:
 
 
 def snapshot(spark: SparkSession, args) -> None:
-    tables = Tables(args.root)
-    movies = tables.read(spark, "movies").drop("batch_id")
-    totals = (tables.read(spark, f"{kind}_totals") for kind in ("rating", "review"))
-    current = movie_snapshot(movies, *totals)
+    current = current_movies(spark, Tables(args.root))
     if args.out.startswith("jdbc:"):
         replace_jdbc(current, args.out, "movies")
     else:
         current.write.mode("overwrite").parquet(args.out)
 
 
+def compact(spark: SparkSession, args) -> None:
+    tables = Tables(args.root)
+    for name in args.table or ("ratings", "reviews", "rating_totals", "review_totals"):
+        if args.vacuum:
+            tables.vacuum(spark, name)
+        tables.compact(spark, name)
+
+
+def serve(spark: SparkSession, args) -> None:
+    tables = Tables(args.root)
+    if args.per_title:
+        found = live_ratings_per_title(spark, tables)
+    elif args.item is not None:
+        found = tables.lookup(spark, args.table, args.item)
+    elif args.minutes is not None:
+        found = tables.recent(
+            spark, args.table, F.current_timestamp(), timedelta(minutes=args.minutes)
+        )
+    else:
+        found = current_movies(spark, tables)
+    if args.out:
+        found.write.mode("overwrite").parquet(args.out)
+    else:
+        found.show(args.rows, truncate=False)
+
+
 def show_profile(spark: SparkSession, args) -> None:
-    profile(_read(spark, args.table), args.approximate).show(truncate=False)
+    profile(_read(spark, args.table), not args.exact).show(truncate=False)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -163,13 +210,26 @@ def _parser() -> argparse.ArgumentParser:
     streams.add_argument("--once", action="store_true")
     command("snapshot", snapshot, "root", "out")
     shown = command("profile", show_profile, "table")
-    shown.add_argument("--approximate", action="store_true")
+    shown.add_argument("--exact", action="store_true", help="shuffles every value once")
+    packed = command("compact", compact, "root")
+    packed.add_argument("--table", action="append")
+    packed.add_argument("--vacuum", action="store_true", help="first delete what was compacted before")
+    served = command("serve", serve, "root")
+    served.add_argument("--table", choices=("movies", "ratings", "reviews"), default="ratings")
+    which = served.add_mutually_exclusive_group()
+    which.add_argument("--minutes", type=int)
+    which.add_argument("--item", type=int)
+    which.add_argument("--per-title", action="store_true")
+    served.add_argument("--rows", type=int, default=20)
+    served.add_argument("--out")
     return parser
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(argv)
-    args.run(spark or build_session(), args)
+    spark = spark or build_session()
+    args.run(spark, args)
+    clear_work_folders(spark)
 
 
 if __name__ == "__main__":

@@ -192,6 +192,16 @@ def sample_items(spark, sf):
     return sampling.sample_rows(t.movies(spark, sf).select("item_id", "title"), 10, "item_id")
 
 
+@query(
+    "SELECT item_id, user_id, rating FROM (SELECT *, row_number() OVER (ORDER BY "
+    "md5('42:' || item_id), item_id, user_id, rating) AS n "
+    f"FROM ({t.RATINGS})) WHERE n <= 5000"
+)
+def sample_large(spark, sf):
+    """A sample of thousands of rows takes the same way as a small one."""
+    return sampling.sample_rows(t.ratings(spark, sf), 5000, "item_id")
+
+
 @query(
     f"SELECT item_id, title FROM ({t.MOVIES}) "
     f"WHERE substr(md5('42:' || item_id), 1, 8) < '{round(0.05 * 2**32):08x}'"

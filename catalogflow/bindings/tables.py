@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogflow.functions.text import WHITESPACE_CLASS
+# Spelled out here, so that a wrong set in the package shows (fixed values: white space).
+WHITESPACE_CLASS = (
+    r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+    r"\x{202f}\x{205f}\x{3000}]"
+)
 
 
 def load(spark: SparkSession, sf: str, table: str) -> DataFrame:

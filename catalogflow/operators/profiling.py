@@ -96,11 +96,11 @@ def profile(frame: DataFrame, approximate: bool = False) -> DataFrame:
 def histogram(frame: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """Equal-width bins between the extremes, empty ones included; the last is closed.
 
-    NaN and null are left out. Two passes: the extremes (two numbers on the driver), then
+    NaN, infinities and null are left out. Two passes: the extremes (two numbers on the driver), then
     one counter per bin.
     """
     value = F.col(column).cast("double")
-    known = frame.select(value.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    known = frame.select(value.alias("_v")).filter(F.abs("_v") < F.lit(float("inf")))
     low, high = known.agg(F.min("_v"), F.max("_v")).first()
     if low is None:
         low, high = 0.0, 1.0

@@ -21,5 +21,6 @@ def merge_catalogue(metadata: DataFrame, linked: DataFrame) -> DataFrame:
     kept = ["item_id", "title", "directedBy", "starring", "avgRating", "imdbId"]
     joined = m.join(c, F.col("m.item_id") == F.col("c.movieId"), "left")
     columns = {n: F.col(f"m.{n}") for n in kept} | {"genres": F.col("c.genres")}
+    # The columns of the merged table, in order.
     order = ["item_id", "title", "genres", "directedBy", "starring", "avgRating", "imdbId"]
     return joined.select(*[columns[n].alias(n) for n in order])

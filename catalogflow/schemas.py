@@ -37,6 +37,22 @@ MOVIES = _schema(
 RATINGS = _schema(item_id=_LONG, user_id=_LONG, rating=_DOUBLE, **_STAMP)
 REVIEWS = _schema(item_id=_LONG, txt=_TEXT, sentiment=_TEXT, **_STAMP)
 
+# Input files by what they hold. Ids of other catalogues are text: they may begin with zeros.
+INPUTS = {
+    "metadata": _schema(
+        item_id=_LONG, title=_TEXT, directedBy=_TEXT, starring=_TEXT, avgRating=_DOUBLE, imdbId=_TEXT
+    ),
+    "catalogue": _schema(movieId=_LONG, title=_TEXT, genres=_TEXT),
+    "links": _schema(movieId=_LONG, imdbId=_TEXT, tmdbId=_TEXT),
+    "movies": _schema(
+        item_id=_LONG, title=_TEXT, genres=_TEXT, directedBy=_TEXT, starring=_TEXT,
+        avgRating=_DOUBLE, imdbId=_TEXT, year=T.IntegerType(), positive_reviews=_LONG,
+        negative_reviews=_LONG, neutral_reviews=_LONG,
+    ),
+    "ratings": _schema(item_id=_LONG, user_id=_LONG, rating=_DOUBLE),
+    "reviews": _schema(item_id=_LONG, txt=_TEXT),
+}
+
 # Additive per-batch amounts. Their sum over any set of batches is exact and does
 # not depend on the order in which batches arrived.
 RATING_TOTALS = _schema(item_id=_LONG, rating_sum=T.DecimalType(28, 4), rating_count=_LONG)
@@ -57,9 +73,13 @@ def dimension(id_name: str, name: str) -> T.StructType:
     return _schema(**{id_name: _LONG, name: _TEXT})
 
 
-# List-valued movie columns: source column, delimiter kind, dimension id and name.
+# List-valued movie columns (fixed values): source column, delimiter kind, dimension id and name.
 LISTS = {
     "genres": ("genres", "pipe", "genre_id", "genre_name"),
     "actors": ("starring", "mixed", "actor_id", "actor_name"),
     "directors": ("directedBy", "mixed", "director_id", "director_name"),
 }
+
+for _name, (_, _, _id, _label) in LISTS.items():
+    INPUTS[_name] = dimension(_id, _label)
+    INPUTS[f"movies_{_name}"] = bridge(_id)

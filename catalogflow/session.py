@@ -52,7 +52,20 @@ def work_folder(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="catalogflow-")
         context.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _folders.setdefault(context.applicationId, []).append(folder)
+    return folder
+
+
+# Work folders given out, by application.
+_folders: dict[str, list[str]] = {}
+
+
+def clear_work_folders(spark: SparkSession) -> None:
+    """Delete the work folders of this application; no frame that reads one may be used later."""
+    for folder in _folders.pop(spark.sparkContext.applicationId, []):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(frame: DataFrame, label: str) -> DataFrame:

@@ -21,17 +21,21 @@ from catalogflow.sinks import append_batch, create_table
 from catalogflow.sources import read_table
 from catalogflow.streaming.runner import ONCE, query_id, run_stream
 
+# Files of one batch's changed totals.
+FILES = 4
+
 
 def _keep_versions(
     totals: DataFrame, table: str, checkpoint: str, trigger: str
 ) -> StreamingQuery:
     """Write the changed totals of each batch as that batch's version.
 
-    A batch comes in as many parts as the state has; it is written in parts of a useful size.
+    A batch comes in as many parts as the state has, however few rows it changed, and is
+    written as ``FILES`` files.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        append_batch(batch.hint("rebalance"), table, batch_id, query_id(batch))
+        append_batch(batch.repartition(FILES), table, batch_id, query_id(batch))
 
     return run_stream(totals, process, checkpoint, trigger, "update")
 

@@ -73,15 +73,10 @@ class Tables:
     def visible(self, spark: SparkSession, name: str) -> DataFrame:
         """run, batch_id and committed_at of the batches that make up a table now."""
         commits = read_table(spark, self.path("_commits"), schemas.COMMIT, with_run=True)
-        first = spark.range(1).select(
-            F.lit(None).cast("timestamp").alias("committed_at"),
-            F.lit(LOADED_RUN).alias("run"),
-            F.lit(LOADED).cast("bigint").alias("batch_id"),
-        )
         entries = read_table(spark, self._compactions(name), schemas.COMPACTION, with_run=True)
         made = entries.groupBy("run", "batch_id").agg(F.max("committed_at").alias("committed_at"))
         replaced = entries.select(F.col("of_run").alias("run"), F.col("of_batch").alias("batch_id"))
-        known = commits.unionByName(first).unionByName(made)
+        known = commits.unionByName(made)
         return known.join(replaced, ["run", "batch_id"], "left_anti")
 
     def read(self, spark: SparkSession, name: str, since: int | None = None) -> DataFrame:
@@ -156,6 +151,10 @@ class Tables:
         )
         # What was compacted is gone with the rest.
         create_table(frame.sparkSession, self._compactions(name), schemas.COMPACTION, replace=True)
+        # All loads share one entry, written by the first.
+        entry = frame.sparkSession.range(1).select(F.current_timestamp().alias("committed_at"))
+        folder = f"{self.path('_commits')}/run={LOADED_RUN}/batch_id={LOADED}"
+        entry.coalesce(1).write.mode("ignore").parquet(folder)
 
     @staticmethod
     def _shaped(frame: DataFrame, name: str) -> DataFrame:

@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from catalogflow.__main__ import main
+from catalogflow.__main__ import _dimension, main
 
 
 def _lines(path, objects):
@@ -55,30 +55,49 @@ def test_from_sources_to_snapshot(spark, rows, tmp_path, capsys):
     assert spark.read.json(at("split", "ratings", "split=db")).count() == 160
 
     tables = [f"{n}={at('split', n, 'split=db')}" for n in ("movies", "ratings", "reviews")]
-    run("load", *[a for t in tables for a in ("--table", t)], "--cap", 50, "--root", at("live"))
-    assert spark.read.parquet(at("live", "ratings")).count() == 50
+    run("load", *[a for t in tables for a in ("--table", t)], "--root", at("live"))
+    assert spark.read.parquet(at("live", "ratings")).count() == 160
+    # dimensions as loaded serve the stream as well as those that were just written
+    dims = [a for n in ("genres", "actors", "directors") for a in ("--table", f"{n}={at('tables', n)}")]
+    run("load", *dims, "--root", at("loaded"))
     assert spark.read.parquet(at("live", "reviews")).first()["sentiment"] == "positive"
 
     for topic in ("movies", "ratings", "reviews"):
         run("replay", "--topic", topic, "--table", at("split", topic, "split=stream"), "--out",
             at("topics", topic), "--per-file", 15)
-    for _ in range(2):
-        run("stream", "--root", at("live"), "--dimensions", at("tables"), "--replay", at("topics"),
+    for dimensions in ("tables", "loaded"):
+        run("stream", "--root", at("live"), "--dimensions", at(dimensions), "--replay", at("topics"),
             "--max-files", 2, "--once")
     run("snapshot", "--root", at("live"), "--out", at("now"))
     now = spark.read.parquet(at("now"))
     streamed = now.join(spark.read.json(at("split", "movies", "split=stream")).select("item_id"), "item_id")
     # half stars are cut off on the wire
     assert rows(streamed, "avgRating", "positive_reviews") == [(3.0, 3)] * 4
-    # the capped load reached the ratings of five films, one of its reviews each
     loaded = now.join(streamed, "item_id", "left_anti")
-    assert loaded.count() == 16 and rows(loaded.filter("avgRating > 0"), "avgRating") == [(3.5,)] * 5
+    assert rows(loaded, "avgRating", "positive_reviews") == [(3.5, 3)] * 16
     assert spark.read.parquet(at("live", "movies_genres")).count() == 8
 
-    run("profile", "--table", at("merged"), "--approximate")
+    run("compact", "--root", at("live"))
+    run("compact", "--root", at("live"), "--vacuum", "--table", "ratings")
+    run("serve", "--root", at("live"), "--out", at("served"))
+    assert rows(spark.read.parquet(at("served"))) == rows(now)
+    run("serve", "--root", at("live"), "--minutes", 60, "--out", at("served"))
+    assert spark.read.parquet(at("served")).count() == 40
+    run("serve", "--root", at("live"), "--table", "reviews", "--item", 3, "--out", at("served"))
+    assert spark.read.parquet(at("served")).count() == 3
+    run("serve", "--root", at("live"), "--per-title")
+    assert "F3 (1993)" in capsys.readouterr().out
+
+    run("profile", "--table", at("merged"))
     assert "distinct_values" in capsys.readouterr().out
 
 
+def test_a_dimension_of_another_form_is_an_error(spark, tmp_path):
+    spark.createDataFrame([(1, "x")], "other int, name string").write.json(str(tmp_path / "genres"))
+    with pytest.raises(ValueError):
+        _dimension(spark, str(tmp_path / "genres"), "genres")
+
+
 def test_stream_needs_one_source(spark):
     with pytest.raises(SystemExit):
         main(["stream", "--root", "r", "--dimensions", "d"], spark)

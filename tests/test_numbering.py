@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogflow.operators.numbering import (
-    _leading, _rank, factorize, first_in_order, number_rows, number_values,
+    _rank, factorize, number_rows, number_values,
 )
 from catalogflow.plans import bridge_rows, list_names, lookup, normalize, unmatched
 
@@ -27,32 +27,6 @@ def test_one_value_may_fill_most_of_the_table(spark):
     assert got.agg(F.min("n"), F.max("n"), F.count_distinct("n")).first()[:] == (1, 1001, 1001)
 
 
-def test_first_in_order(spark, rows):
-    frame = spark.range(500).repartition(5)
-    assert rows(first_in_order(frame, 3, "id")) == [(0,), (1,), (2,)]
-    assert first_in_order(frame, 1000, "id").count() == 500
-
-
-def test_first_in_order_sorts_only_the_leading_rows(spark, rows):
-    frame = spark.range(100_000).select(
-        (F.col("id") * 7919 % 100_003).alias("v"), F.col("id").cast("string").alias("s")
-    )
-    assert _leading(frame, 500, "v").count() < 1000
-    assert _leading(frame, 500, "s") is frame
-    values = sorted(i * 7919 % 100_003 for i in range(100_000))[:500]
-    assert rows(first_in_order(frame, 500, "v"), "v") == sorted([(v,) for v in values], key=repr)
-
-
-@pytest.mark.parametrize("n", [1, 5, 30])
-def test_first_in_order_with_nulls_and_ties(spark, n):
-    data = [(None,)] * 3 + [(1.0,)] * 10 + [(float(i),) for i in range(20)] + [(float("nan"),)]
-    frame = spark.createDataFrame(data, "v double").repartition(3)
-    got = first_in_order(frame, n, "v")
-    want = frame.orderBy("v").limit(n)
-    count = F.count_if(F.col("v").isNull()), F.sum("v"), F.count("v")
-    assert got.agg(*count).first() == want.agg(*count).first()
-
-
 def test_empty_table(spark):
     assert number_rows(spark.range(0), "id", name="n").count() == 0
 

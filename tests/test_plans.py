@@ -5,7 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+import __spark_entry__  # noqa: F401
+from catalogflow.bindings.registry import QUERIES
 from catalogflow.operators import aggregates, keys
 from catalogflow.plans import lookup, rated_movies, unmatched
 
@@ -18,7 +19,7 @@ def _physical(frame):
 
 @pytest.mark.parametrize("name", ["avg_rating", "ratings_per_title", "batch_touched_avg"])
 def test_scans_read_only_the_columns_used(spark, name):
-    plan = _physical(entry.queries()[name](spark, SF))
+    plan = _physical(QUERIES[name](spark, SF))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert schemas and all("l_extendedprice" not in s and "l_tax" not in s for s in schemas)
 
@@ -28,15 +29,15 @@ def test_scans_read_only_the_columns_used(spark, name):
     [("point_lookup", "EqualTo(p_partkey,42)"), ("recent_day", "GreaterThan(ts,")],
 )
 def test_predicates_reach_the_scan(spark, name, predicate):
-    plan = _physical(entry.queries()[name](spark, SF))
+    plan = _physical(QUERIES[name](spark, SF))
     assert predicate in re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan).group(1)
 
 
 @pytest.mark.parametrize(
-    "name", sorted(n for n in entry.queries() if not n.startswith("stream_"))
+    "name", sorted(n for n in QUERIES if not n.startswith("stream_"))
 )
 def test_no_python_workers_and_no_cross_joins(spark, name):
-    plan = _physical(entry.queries()[name](spark, SF))
+    plan = _physical(QUERIES[name](spark, SF))
     assert not re.search(r"EvalPython|MapInPandas|CartesianProduct|NestedLoopJoin", plan)
 
 

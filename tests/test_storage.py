@@ -1,16 +1,18 @@
 import json
+from functools import reduce
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogflow import schemas, sinks, sources
 from catalogflow.operators.aggregates import add_review_totals
 from catalogflow.plans import replay, wire_ratings
 from catalogflow.plans.bulkload import load_in_parts, prepare_movies, prepare_reviews
-from catalogflow.plans.replay import RATES, messages_per_file
 from catalogflow.sources import jdbc_options, kafka_options
 from catalogflow.session import work_folder
+from catalogflow.tables import Tables
 
 
 def test_same_batch_twice_changes_nothing(spark, rows, tmp_path):
@@ -31,17 +33,38 @@ def test_table_without_batches_can_be_read(spark, tmp_path):
 
 
 def test_compacting_keeps_the_totals(spark, rows, tmp_path):
-    table, target = str(tmp_path / "t"), str(tmp_path / "c")
-    schema = schemas.REVIEW_TOTALS
-    for batch_id in range(4):
-        batch = spark.createDataFrame([(1, 1, 0, 2), (batch_id, 0, 1, 0)], schema)
-        sinks.append_batch(batch, table, batch_id)
-    for _ in range(2):
-        sinks.compact(spark, table, target, schema, 2, add_review_totals)
-    both = sinks.read_compacted(spark, table, target, schema, 2)
-    assert rows(both.groupBy("batch_id").count()) == [(2, 3), (3, 2)]
-    whole = sources.read_table(spark, table, schema)
-    assert rows(add_review_totals(both)) == rows(add_review_totals(whole))
+    tables = Tables(str(tmp_path / "t"))
+    tables.create(spark, "review_totals")
+    whole = []
+    for run in ("a", "b"):
+        for n in range(3):
+            batch = spark.createDataFrame([(1, 1, 0, 2), (n, 0, 1, 0)], schemas.REVIEW_TOTALS)
+            tables.append(batch, "review_totals", n, run)
+            tables.commit(spark, n, run)
+            whole.append(batch)
+        before = rows(add_review_totals(tables.read(spark, "review_totals")))
+        tables.compact(spark, "review_totals")
+        assert rows(add_review_totals(tables.read(spark, "review_totals"))) == before
+        assert tables.visible(spark, "review_totals").filter("batch_id >= 0").count() == 1
+    tables.vacuum(spark, "review_totals")
+    assert rows(add_review_totals(tables.read(spark, "review_totals"))) == before
+    assert rows(add_review_totals(reduce(DataFrame.unionByName, whole))) == before
+    assert len(list((tmp_path / "t" / "review_totals").glob("run=compact-*/batch_id=*"))) == 1
+
+
+def test_a_batch_is_seen_once_committed(spark, rows, tmp_path):
+    tables = Tables(str(tmp_path / "t"))
+    tables.create(spark, "unmatched")
+    batch = spark.createDataFrame([("genres", "x", 1)], schemas.UNMATCHED)
+    for run in ("a", "b"):
+        tables.append(batch, "unmatched", 0, run)
+    assert tables.read(spark, "unmatched").count() == 0
+    tables.commit(spark, 0, "a")
+    assert rows(tables.read(spark, "unmatched")) == [("genres", "x", 1, 0)]
+    tables.commit(spark, 0, "b")
+    assert tables.read(spark, "unmatched").count() == 2
+    tables.replace(batch, "unmatched")
+    assert rows(tables.read(spark, "unmatched"), "batch_id") == [(-2,)]
 
 
 def test_replace_with_types(spark, tmp_path):
@@ -102,12 +125,6 @@ def test_replay_files_are_bounded(spark, tmp_path):
     assert len(list((tmp_path / "r").glob("*.txt"))) == 8
 
 
-def test_rates_as_files():
-    assert [messages_per_file(r, 5) for r in RATES["ratings"] + RATES["reviews"]] == [10, 25, 2, 20]
-    assert messages_per_file(RATES["movies"][0], 10) == 5
-    assert messages_per_file(0.01, 5) == 1
-
-
 def test_loaded_rows_are_seven_days_old(spark):
     as_of = F.lit("2024-01-08 00:00:00").cast("timestamp")
     reviews = spark.createDataFrame([(1, "bad")], "item_id bigint, txt string")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from catalogflow import schemas
 from catalogflow.operators.aggregates import add_rating_totals, average_ratings, review_totals
 from catalogflow.plans import bulk_load, movie_snapshot, stamp_loaded
 from catalogflow.sources import replay_stream
@@ -70,6 +71,54 @@ def test_ratings_end_as_in_batch(spark, rows, topic, tables, tmp_path):
     assert stamps.count() == 3
 
 
+def test_unusable_ratings_go_to_quarantine(spark, rows, topic, tables, tmp_path):
+    odd = ["1e20", "NaN", "Infinity", "four", "1e400", True]
+    path = topic("ratings", [[_rating(1, 1, v) for v in odd] + [_rating(1, 2, "4.0")]])
+    _run(spark, ratings_job, path, tables, str(tmp_path / "cp"))
+    assert rows(tables.read(spark, "ratings"), "user_id", "rating") == [(2, 4.0)]
+    assert tables.read(spark, "quarantine_ratings").count() == len(odd)
+
+
+def test_whole_decimals_are_counters(spark, rows, topic, tables, tmp_path):
+    film = _film(1, "g") | {"positive_reviews": "0.0", "negative_reviews": "3.00", "neutral_reviews": "2"}
+    bad = _film(2, "g") | {"positive_reviews": "0.5"}
+    dimensions = lambda n: spark.createDataFrame([], schemas.INPUTS[n])
+    path = topic("movies", [[[film, bad]]])
+    _run(spark, movies_job, path, dimensions, tables, str(tmp_path / "cp"))
+    assert rows(tables.read(spark, "movies"), "item_id", "negative_reviews") == [(1, 3)]
+    assert tables.read(spark, "quarantine_movies").count() == 1
+
+
+def test_another_checkpoint_replaces_nothing(spark, rows, topic, tables, tmp_path):
+    _run(spark, ratings_job, topic("a", DATA), tables, str(tmp_path / "cp1"))
+    _run(spark, ratings_job, topic("b", [DATA[0][:3]]), tables, str(tmp_path / "cp2"))
+    assert tables.read(spark, "ratings").count() == 63
+    total = tables.read(spark, "rating_totals").agg(F.sum("rating_count")).first()[0]
+    assert total == 63
+
+
+def test_recent_reads_few_folders(spark, topic, tables, tmp_path):
+    _run(spark, ratings_job, topic("ratings", DATA), tables, str(tmp_path / "cp"))
+    now = F.current_timestamp()
+    found = tables.recent(spark, "ratings", now)
+    assert found.count() == 60
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull" in plan or "PartitionFilters: [(run" in plan
+    assert tables.recent(spark, "ratings", F.lit("2030-01-01").cast("timestamp")).count() == 0
+
+
+def test_state_is_written_in_few_files(spark, topic, tmp_path):
+    table = str(tmp_path / "running")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        messages = replay_stream(spark, topic("ratings", DATA))
+        running_averages(messages, table, str(tmp_path / "cp")).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    written = [f for f in (tmp_path / "running").rglob("batch_id=0/*.parquet")]
+    assert 1 <= len(written) <= 4
+
+
 def test_restart_continues_and_repeats_nothing(spark, rows, topic, tables, tmp_path):
     checkpoint = str(tmp_path / "cp")
     path = topic("ratings", DATA[:2])
