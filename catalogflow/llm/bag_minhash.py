@@ -349,7 +349,7 @@ def _rest(
     hubs = root_of.select(F.col("r_node"), F.col("root").alias("hub_root"))
     rows = rows.join(hubs, F.col("hub") == F.col("r_node"), "left").drop("r_node")
     rows = rows.withColumn("open", F.col("root") != F.coalesce("hub_root", "hub"))
-    rows = rows.select("bucket", "node", "n", "d", "root", "open")
+    rows = rows.select("bucket", "hub", "node", "n", "d", "root", "open")
     # Only buckets with an open member leave anything to do.
     wanted = rows.where("open").select("bucket").distinct()
     rows = rows.join(wanted, "bucket", "left_semi").join(sketched, F.col("node") == F.col("k_node"))
@@ -364,11 +364,13 @@ def _rest(
     share = (1 - similarity) * 15 / 16
     most = int(m * share + 4 * (m * share * (1 - share)) ** 0.5)
     fits &= differing("x.sketch", "y.sketch") <= most
-    x = rows.where(F.col("open") & (F.col("d") <= 2 * reach)).alias("x")
-    y = rows.where("not open and d > 0").alias("y")
+    # Two nodes meet once for each hub, in however many of its buckets they are.
+    at_hub = rows.drop("bucket").dropDuplicates(["hub", "node"])
+    x = at_hub.where(F.col("open") & (F.col("d") <= 2 * reach)).alias("x")
+    y = at_hub.where("not open and d > 0").alias("y")
     near_hub = x.join(
         y,
-        (F.col("x.bucket") == F.col("y.bucket"))
+        (F.col("x.hub") == F.col("y.hub"))
         & (F.col("x.root") != F.col("y.root"))
         & fits
         & (F.abs(F.col("x.d") - F.col("y.d")) <= reach),
