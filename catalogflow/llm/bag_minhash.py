@@ -333,13 +333,11 @@ def _rest(
     """Pairs that the hubs leave open.
 
     A member of a bucket is open if it is not in the hub's component. An open member near
-    enough to the hub is paired with the members of the hub's component, unless the two
-    distances to the hub rule a link out. Open members are paired with each other if they are
-    open in two buckets together: many texts that share one long passage meet in the bucket of
-    that passage, but few of them do so twice, while a pair at 0.8 is missed by fewer than two
-    buckets with probability 7e-4 only. Of either kind only pairs are left whose sizes and parities
-    allow the link, and whose sketches differ in no more components than those of a pair at the
-    threshold do with probability 1 - 3e-5.
+    enough to the hub is paired with the members of the hub's component, and any open member
+    with the others that are open at the same hub, in however few buckets they meet, unless the
+    two distances to the hub rule a link out. Of either kind only pairs are left whose sizes and
+    parities allow the link, and whose sketches differ in no more components than those of a pair
+    at the threshold do with probability 1 - 3e-5.
     """
     root_of = roots.select(F.col("node").alias("r_node"), "root")
     near = scored.select(F.col("a").alias("hub"), F.col("b").alias("node"), (1 - F.col("s")).alias("d"))
@@ -375,42 +373,14 @@ def _rest(
         & fits
         & (F.abs(F.col("x.d") - F.col("y.d")) <= reach),
     )
-    twice = (
-        rows.where("open")
-        .groupBy("node")
-        .agg(
-            F.first("n").alias("n"),
-            F.first("root").alias("root"),
-            F.first("sketch").alias("sketch"),
-            F.first("parity").alias("parity"),
-            F.array_sort(F.collect_set("bucket")).alias("own"))
-        .where(F.size("own") > 1)
-        .select(
-            "node",
-            "n",
-            "root",
-            "sketch",
-            "parity",
-            F.explode(
-                F.flatten(
-                    F.transform(
-                        "own",
-                        lambda a, i: F.transform(
-                            F.slice("own", i + 2, F.size("own")),
-                            lambda b: F.struct(a.alias("a"), b.alias("b")),
-                        ),
-                    )
-                )
-            ).alias("two"),
-        )
-    )
-    x, y = twice.alias("x"), twice.alias("y")
+    x, y = at_hub.where("open").alias("x"), at_hub.where("open").alias("y")
     open_pairs = x.join(
         y,
-        (F.col("x.two") == F.col("y.two"))
+        (F.col("x.hub") == F.col("y.hub"))
         & (F.col("x.root") != F.col("y.root"))
         & (F.col("x.node") < F.col("y.node"))
-        & fits,
+        & fits
+        & (F.abs(F.col("x.d") - F.col("y.d")) <= reach),
     )
     pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
     return near_hub.select(pair).unionByName(open_pairs.select(pair)).distinct()

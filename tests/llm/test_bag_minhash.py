@@ -54,6 +54,32 @@ def test_equals_brute_force(spark, rows):
     assert rows(bag_minhash.classes(docs), "doc_id", "class_id") == brute(data)
 
 
+def open_pairs(spark, nodes, d, buckets=("b",), root=None):
+    """What _rest pairs among ``nodes``, given their distances to the hub and their roots."""
+    hub, root = (False, 0, 0), root or {}
+    kind = "struct<none: boolean, id: bigint, v: bigint>"
+    node = lambda i: (False, i, 0)
+    members = [(b, hub, node(i), n) for b in buckets for i, n in [(0, 100), *nodes.items()]]
+    rest = bag_minhash._rest(
+        spark.createDataFrame(members, f"bucket string, hub {kind}, node {kind}, n int"),
+        spark.createDataFrame([(hub, node(i), 1 - x) for i, x in d.items()], f"a {kind}, b {kind}, s double"),
+        spark.createDataFrame([(node(i), node(r)) for i, r in root.items()], f"node {kind}, root {kind}"),
+        spark.createDataFrame(
+            [(node(i), [0] * 12, [0] * 16) for i in (0, *nodes)],
+            f"k_node {kind}, sketch array<bigint>, parity array<bigint>",
+        ),
+        0.8,
+    )
+    return {(r.a.id, r.b.id) for r in rest.collect()}
+
+
+def test_open_members_meet_in_a_single_bucket(spark):
+    # 4 is ruled out by its size, 5 by its distance to the hub.
+    nodes, d = {1: 100, 2: 100, 3: 100, 4: 70, 5: 100}, {1: 0.6, 2: 0.6, 3: 0.7, 4: 0.6, 5: 0.95}
+    assert open_pairs(spark, nodes, d) == {(1, 2), (1, 3), (2, 3)}
+    assert open_pairs(spark, nodes, d, ("b", "c", "e")) == {(1, 2), (1, 3), (2, 3)}
+
+
 def test_signatures_estimate_similarity():
     r = np.random.default_rng(1)
     x = r.integers(0, 2**63, 500).astype(np.uint64)
