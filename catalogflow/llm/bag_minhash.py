@@ -116,13 +116,6 @@ def _points(element, weight, doc, limit, low, width, m, into) -> None:
                 target.append(values[below])
 
 
-def sketches(found: np.ndarray) -> np.ndarray:
-    """Four bits of each component, sixteen components to a 64-bit number."""
-    nibbles = (found >> np.uint64(60)).reshape(len(found), -1, 16)
-    shifts = np.arange(0, 64, 4, dtype=np.uint64)
-    return np.bitwise_or.reduce(nibbles << shifts, axis=2).view(np.int64)
-
-
 def parities(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The parity of the counts in each of ``PARITY_BITS`` groups of runs."""
     odd = (hashes[counts % 2 == 1] >> np.uint64(8)) % np.uint64(PARITY_BITS)
@@ -136,21 +129,10 @@ def unequal(a: str, b: str) -> Column:
     return reduce(Column.__add__, found)
 
 
-def differing(a: str, b: str) -> Column:
-    """In how many components two sketches differ, up to one agreement in 16 by chance."""
-    total = F.lit(0)
-    for k in range(BANDS * ROWS // 16):
-        x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        total += F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    return total
-
-
 def _signed(rows: DataFrame, id_type: T.DataType) -> DataFrame:
     """For each row: key of its words (null if none), number of shingles and bucket hashes."""
     schema = T.StructType([T.StructField("id", id_type)])
-    for field in T._parse_datatype_string("v bigint, key binary, n int, bands array<bigint>, sketch array<bigint>, parity array<bigint>"):
+    for field in T._parse_datatype_string("v bigint, key binary, n int, bands array<bigint>, parity array<bigint>"):
         schema = schema.add(field)
 
     def run(batches):
@@ -167,7 +149,6 @@ def _signed(rows: DataFrame, id_type: T.DataType) -> DataFrame:
                 for k in range(ROWS):
                     band = mixed(band * np.uint64(0x9E3779B97F4A7C15) + found[:, :, k])
                 band = mixed(band ^ np.arange(BANDS, dtype=np.uint64)).view(np.int64)
-                sketch = sketches(found.reshape(len(words), -1))
                 parity = [parities(*bag) for bag in bags]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -180,10 +161,10 @@ def _signed(rows: DataFrame, id_type: T.DataType) -> DataFrame:
                         pa.array([int(c.sum()) for _, c in bags], pa.int32()),
                         *(
                             pa.array([x if w else None for x, w in zip(found, words)], pa.list_(pa.int64()))
-                            for found in (band, sketch, parity)
+                            for found in (band, parity)
                         ),
                     ],
-                    names=["id", "v", "key", "n", "bands", "sketch", "parity"],
+                    names=["id", "v", "key", "n", "bands", "parity"],
                 )
 
     return map_arrow(rows, run, schema)
@@ -249,7 +230,6 @@ def classes(
             F.min(node).alias("node"),
             F.min("n").alias("n"),
             F.min("bands").alias("bands"),
-            F.min("sketch").alias("sketch"),
             F.min("parity").alias("parity"),
         ),
         "classes",
@@ -276,7 +256,7 @@ def classes(
     links = scored.where(F.col("s") >= similarity).select("a", "b")
     roots = components(links)
 
-    rest = _rest(members, scored, roots, reps.select(F.col("node").alias("k_node"), "sketch", "parity"), similarity)
+    rest = _rest(members, scored, roots, reps.select(F.col("node").alias("k_node"), "parity"), similarity)
     more = _verify(rest, texts).where(F.col("s") >= similarity).select("a", "b")
     more = materialize(more, "more_links")
     if not more.isEmpty():
@@ -327,17 +307,15 @@ def _rest(
     members: DataFrame,
     scored: DataFrame,
     roots: DataFrame,
-    sketched: DataFrame,
+    parity: DataFrame,
     similarity: float,
 ) -> DataFrame:
     """Pairs that the hubs leave open.
 
-    A member of a bucket is open if it is not in the hub's component. An open member near
-    enough to the hub is paired with the members of the hub's component, and any open member
-    with the others that are open at the same hub, in however few buckets they meet, unless the
-    two distances to the hub rule a link out. Of either kind only pairs are left whose sizes and
-    parities allow the link, and whose sketches differ in no more components than those of a pair
-    at the threshold do with probability 1 - 3e-5.
+    A member of a bucket is open if it is not in the hub's component. An open member is paired
+    with the members of the hub's component and with the others that are open at the same hub,
+    in however few buckets they meet. Only pairs are left whose sizes, parities and distances to
+    the hub allow the link; each of the three is a bound that no linked pair breaks.
     """
     root_of = roots.select(F.col("node").alias("r_node"), "root")
     near = scored.select(F.col("a").alias("hub"), F.col("b").alias("node"), (1 - F.col("s")).alias("d"))
@@ -350,21 +328,16 @@ def _rest(
     rows = rows.select("bucket", "hub", "node", "n", "d", "root", "open")
     # Only buckets with an open member leave anything to do.
     wanted = rows.where("open").select("bucket").distinct()
-    rows = rows.join(wanted, "bucket", "left_semi").join(sketched, F.col("node") == F.col("k_node"))
+    rows = rows.join(wanted, "bucket", "left_semi").join(parity, F.col("node") == F.col("k_node"))
     rows = materialize(rows.drop("k_node"), "open")
     reach = 1 - similarity + 1e-9
     fits = F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * (similarity - 1e-9)
     # The overlap is at most half of what the sizes leave over the unequal groups.
     sizes = F.col("x.n") + F.col("y.n")
     fits &= unequal("x.parity", "y.parity") * (1 + similarity) <= sizes * (1 - similarity) + 1e-6
-    # Four deviations from what a pair at the threshold is expected to differ in.
-    m = BANDS * ROWS
-    share = (1 - similarity) * 15 / 16
-    most = int(m * share + 4 * (m * share * (1 - share)) ** 0.5)
-    fits &= differing("x.sketch", "y.sketch") <= most
     # Two nodes meet once for each hub, in however many of its buckets they are.
     at_hub = rows.drop("bucket").dropDuplicates(["hub", "node"])
-    x = at_hub.where(F.col("open") & (F.col("d") <= 2 * reach)).alias("x")
+    x = at_hub.where("open").alias("x")
     y = at_hub.where("not open and d > 0").alias("y")
     near_hub = x.join(
         y,

@@ -65,8 +65,8 @@ def open_pairs(spark, nodes, d, buckets=("b",), root=None):
         spark.createDataFrame([(hub, node(i), 1 - x) for i, x in d.items()], f"a {kind}, b {kind}, s double"),
         spark.createDataFrame([(node(i), node(r)) for i, r in root.items()], f"node {kind}, root {kind}"),
         spark.createDataFrame(
-            [(node(i), [0] * 12, [0] * 16) for i in (0, *nodes)],
-            f"k_node {kind}, sketch array<bigint>, parity array<bigint>",
+            [(node(i), [0] * 16) for i in (0, *nodes)],
+            f"k_node {kind}, parity array<bigint>",
         ),
         0.8,
     )
@@ -80,6 +80,12 @@ def test_open_members_meet_in_a_single_bucket(spark):
     assert open_pairs(spark, nodes, d, ("b", "c", "e")) == {(1, 2), (1, 3), (2, 3)}
 
 
+def test_open_members_meet_a_chain_of_the_hub(spark):
+    # h-2 and 2-1 are linked, so 1 is of the hub's component at 0.4; 3 at 0.45 may be linked to 1.
+    found = open_pairs(spark, {1: 100, 2: 100, 3: 100}, {1: 0.4, 2: 0.2, 3: 0.45}, root={0: 0, 1: 0, 2: 0})
+    assert found == {(1, 3)}
+
+
 def test_signatures_estimate_similarity():
     r = np.random.default_rng(1)
     x = r.integers(0, 2**63, 500).astype(np.uint64)
