@@ -24,6 +24,8 @@ MIN_TOKENS = 3
 MIN_DOCS = 10
 #: The share of a line's tokens that must equal the template's.
 SIMILARITY = 0.7
+#: With so many tokens without a digit, a line is long: it recurs from two documents on.
+LONG_TOKENS = 20
 WILD = "<*>"
 
 
@@ -58,6 +60,7 @@ def _lines(rows: DataFrame, min_tokens: int, lead: int) -> DataFrame:
         F.xxhash64("n", F.substring_index("line", " ", lead)).alias("leaf"),
         F.xxhash64("line").alias("variant"),
         "line",
+        "n",
     )
 
 
@@ -75,7 +78,7 @@ def recurring(
     The second frame has leaf, variant and ``keep``, the id of the document that keeps its
     lines: the lowest among those with the template.
     """
-    lines = _lines(rows, min_tokens, lead)
+    lines = _lines(rows, min_tokens, lead).drop("n")
     leaves = materialize(
         lines.groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf"), "leaves"
     )
@@ -134,23 +137,40 @@ def recurring(
     return near, materialize(drop, "drop")
 
 
+def repeated(rows: DataFrame, long_tokens: int) -> DataFrame:
+    """id, v and number of each long line that a document with a lower id has too, up to digits."""
+    fields = F.size(F.split("line", WILD, -1)) - 1
+    lines = _lines(rows, long_tokens, LEAD).where(F.col("n") - fields >= long_tokens)
+    lines = materialize(lines.select("id", "v", "number", "leaf", "variant"), "long")
+    first = lines.groupBy("leaf", "variant").agg(F.min("id").alias("keep"), F.max("id").alias("last"))
+    first = first.where("keep <> last").drop("last")
+    return lines.join(first, ["leaf", "variant"]).where("id <> keep").select("id", "v", "number")
+
+
 def drop_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    long_tokens: int | None = None,
+    **settings,
 ) -> DataFrame:
     """``docs`` without recurring lines: all columns, the text replaced by the lines that stay.
 
     Added columns: ``n_lines`` and ``n_dropped``. A template in ``min_docs`` documents or more
-    stays in the one with the lowest id only; lines of fewer than ``min_tokens`` tokens always
+    stays in the one with the lowest id only; so does, if ``long_tokens`` is given, a line of so
+    many tokens without a digit that two documents or more have. Lines of fewer than ``min_tokens`` tokens always
     stay. A null text stays null (0 lines), an empty one stays empty (1 line). Rows with the
     same id count as one document; rows with a null id lose no line.
     Columns of ``docs`` named like the added ones are replaced.
     """
     rows = id_and_text(docs, id_col, text_col).withColumn("v", F.xxhash64("text"))
     near, drop = recurring(rows.where("id is not null"), **settings)
+    gone = near.join(drop, ["leaf", "variant"]).where(F.col("id") != F.col("keep"))
+    gone = gone.select("id", "v", "number")
+    if long_tokens is not None:
+        gone = gone.unionByName(repeated(rows.where("id is not null"), long_tokens))
     gone = (
-        near.join(drop, ["leaf", "variant"])
-        .where(F.col("id") != F.col("keep"))
-        .groupBy(F.col("id").alias("gone_id"), F.col("v").alias("gone_v"))
+        gone.groupBy(F.col("id").alias("gone_id"), F.col("v").alias("gone_v"))
         .agg(F.collect_set("number").alias("gone"))
     )
     # As one column, the row's own names cannot clash with those of the join.

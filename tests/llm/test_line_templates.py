@@ -32,6 +32,17 @@ def test_rare_and_short_lines_stay(spark):
     assert all(r.n_dropped == 0 for r in line_templates.drop_lines(docs).collect())
 
 
+def test_long_lines_recur_from_two_documents_on(spark):
+    long = " ".join(f"w{c}" for c in "abcdefghijklmnopqrst")
+    figures = " ".join(str(i) for i in range(25))
+    rows = [(i, f"{long} {i}\n{figures}\n{long[:-3]}") for i in (1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in line_templates.drop_lines(docs, long_tokens=20).collect()}
+    # Figures are no tokens of their own, and 19 tokens are too few.
+    assert got[1].text == rows[0][1]
+    assert got[2].text == f"{figures}\n{long[:-3]}"
+
+
 def test_odd_rows(odd, empty):
     got = line_templates.drop_lines(odd, min_docs=2).collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted(
