@@ -14,6 +14,7 @@ from catalogflow.llm import (
     language_id,
     line_templates,
     pair_bpe,
+    periodic_runs,
     substring_dedup,
     token_automaton,
     tool_links,
@@ -161,3 +162,43 @@ def op10_token_automaton(spark: SparkSession, sf: str) -> DataFrame:
     return token_automaton.token_counts(
         table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"), limit=2048
     )
+
+
+def _made_periodic(docs: DataFrame) -> DataFrame:
+    """Every document whose hash of its id ends in 0 repeats a stretch of its words up to its end.
+
+    A null id has no hash; its document stays as it is.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    spread = docs.select("doc_id", "text", h.alias("h")).withColumn(
+        "words", F.when(F.col("h") % 10 == 0, words)
+    )
+    placed = spread.withColumns({"g": F.expr("h div 10"), "n": F.size("words").cast("bigint")})
+    placed = placed.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    placed = placed.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+
+    def source(i):
+        i = i.cast("bigint")
+        return F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+
+    made = F.transform("words", lambda w, i: F.get("words", source(i).cast("int")))
+    text = F.when(F.col("a").isNotNull(), F.array_join(made, " ")).otherwise(F.col("text"))
+    return placed.select("doc_id", text.alias("text"))
+
+
+@query()
+def op12_scale_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _made_periodic(table(spark, sf, "documents"))
+    found = periodic_runs.collapse_runs(docs, with_text=False)
+    best = periodic_runs.strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    exponent = F.expr("1000 * best.length div best.period")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        exponent.alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.col("kept_sha256").alias("collapsed_sha256"),
+    )
