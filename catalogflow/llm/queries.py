@@ -13,6 +13,7 @@ from catalogflow.llm import (
     html_text,
     language_id,
     line_templates,
+    mixture_packing,
     pair_bpe,
     periodic_runs,
     substring_dedup,
@@ -164,6 +165,12 @@ def op10_token_automaton(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query()
+def op11_mixture_packing(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = mixture_packing.pack(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def _made_periodic(docs: DataFrame) -> DataFrame:
     """Every document whose hash of its id ends in 0 repeats a stretch of its words up to its end.
 
