@@ -19,6 +19,7 @@ from catalogflow.llm import (
     substring_dedup,
     token_automaton,
     tool_links,
+    turn_alignment,
     wu_manber,
 )
 
@@ -209,3 +210,66 @@ def op12_scale_tiles(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.col("kept_sha256").alias("collapsed_sha256"),
     )
+
+
+def _damaged(turns: DataFrame) -> DataFrame:
+    """The conversations with turns dropped, emptied, cut, repeated and given to the user."""
+    space = F.lit(" ")
+    number = [F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")]
+    kind = F.crc32(F.concat_ws(":", *number)) % 20
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    emptied = F.when(F.col("kind") == 1, "").when(
+        F.col("kind") == 2, F.regexp_replace(text, "[.!?]", "")
+    )
+    copies = F.array_repeat(F.lit(1), F.when(F.col("kind") == 3, 2).otherwise(1))
+    return (
+        turns.withColumn("kind", kind)
+        .where("kind != 0")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("kind") == 4, "user").otherwise(role).alias("role"),
+            emptied.otherwise(text).alias("text"),
+            F.explode(copies).alias("copy"),
+        )
+        .drop("copy")
+    )
+
+
+#: CRC-32 of an ASCII text, bit by bit (fixed value: the reversed polynomial).
+_CRC32 = """xor(list_reduce(list_transform(string_split({}, ''), lambda c: CAST(ascii(c) AS BIGINT)),
+  lambda crc, b: list_reduce([CAST(i AS BIGINT) FOR i IN range(8)],
+    lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, b)),
+  CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"""
+
+_DAMAGED_SQL = f"""
+SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+  CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g')
+    ELSE coalesce(text, ' ') END AS text
+FROM (
+  SELECT *, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM (SELECT *, {_CRC32.format(
+    "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+  )} % 20 AS kind FROM conversations)
+)"""
+
+
+@query(turn_alignment.digest_sql(_DAMAGED_SQL))
+def op13_turn_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    conversations = table(spark, sf, "conversations")
+    found = turn_alignment.repair(_damaged(conversations))
+    audits, hashes = (
+        f.withColumnRenamed("conv_id", c)
+        for f, c in ((found.audits, "_audited"), (found.hashes(), "_hashed"))
+    )
+    every = conversations.select("conv_id").distinct()
+    joined = every.join(audits, F.col("conv_id").eqNullSafe(F.col("_audited")), "left").join(
+        hashes, F.col("conv_id").eqNullSafe(F.col("_hashed")), "left"
+    )
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
