@@ -1,18 +1,19 @@
 """Stretches of words that repeat with a period, by tiles of each period octave.
 
 Octave k holds the periods 2^k .. 2^(k+1)-1. For each octave a document is exploded into
-overlapping tiles around boundaries (anchors) that lie 2^(k+1) words apart; tiles at whose
-anchors no such period can hold are not made. Tiles are dealt to tasks and solved on their own:
-Z-functions to the right and to the left of an anchor say, for every period, how far the words
-agree with those one period on. What a tile holds of a run is a fragment; fragments of one document
-and period meet in a shuffle and are stitched where they overlap by a period.
+overlapping tiles around boundaries (anchors) that lie 2^k words apart; tiles at whose anchors no
+such period can hold are not made. Tiles are dealt to tasks and solved on their own: Z-functions to
+the right and to the left of an anchor say, for every period, how far the words agree with those
+one period on. What a tile holds of a run is a fragment; fragments of one document and period meet
+in a shuffle and are stitched where they overlap by a period.
 
 Why no run is lost: a run of period q in octave k has at least 4q words. Its words from the start up
-to one period before the end recur q words later, so at every anchor c between its start and its
-end - q - 2^k the words c .. c + 2^k - 1 recur within 2^(k+1) words. That range is longer than
-2^(k+1) words and holds an anchor less than 2^(k+1) words from its start and one as near to its end.
-A tile reaches 2^(k+1) words to the left of its anchor and 5 * 2^k to the right, which covers the
-rest, and the fragments of neighbouring anchors share more than a period.
+to one period before the end recur q words later. So at every anchor c between its start and its
+end - q - w the words c .. c + w - 1 recur within 2^(k+1) words, where w is 2^(k+1) + 1 (5 for
+period 1, whose runs have 6 words). That range has 2^k places or more, so an anchor lies in it less
+than 2^k words from its start and one as near to its end. A tile reaches 2^k words to the left of
+its anchor and 5 * 2^k (7 for period 1) to the right, which covers the rest, and the fragments of
+neighbouring anchors share more than a period.
 """
 
 from __future__ import annotations
@@ -70,6 +71,16 @@ def prime_factors(n: int) -> list[int]:
     return found + [n] * (n > 1)
 
 
+def window(octave: int) -> int:
+    """So many words from an anchor on have to recur within 2^(octave+1) words."""
+    return (2 << octave) + 1 if octave else MIN_LENGTH - 1
+
+
+def reach(octave: int) -> int:
+    """So many words from an anchor on belong to its tile."""
+    return max(5 << octave, MIN_LENGTH + 1)
+
+
 def fragments_at(words: list[int], anchor: int, octave: int) -> Iterator[tuple[int, int, int]]:
     """period, start, end of what repeats across ``anchor``, at least twice, with a primitive period."""
     least, most = 1 << octave, min((2 << octave) - 1, len(words) - anchor)
@@ -91,10 +102,10 @@ def solve_tile(
     words: list[int], octave: int, first: int, anchors: int, low: int
 ) -> list[tuple[int, int, int]]:
     """period, start, end of the fragments of a tile, numbered as in the document."""
-    step = 2 << octave
+    step = 1 << octave
     held: dict[int, list[tuple[int, int]]] = {}
     for c in range(first, first + anchors * step, step):
-        begin, end = max(c - step, low) - low, c + (5 << octave) - low
+        begin, end = max(c - step, low) - low, c + reach(octave) - low
         for q, s, e in fragments_at(words[begin:end], c - low - begin, octave):
             s, e = s + begin + low, e + begin + low
             parts = held.setdefault(q, [])
@@ -118,11 +129,11 @@ def tiles_of(texts: list[list[bytes]]) -> Iterator[tuple[int, int, int, int, int
     same = keys[order[1:]] == keys[order[:-1]]
     recurs[order[:-1][same]] = (order[1:] - order[:-1])[same]
     for octave in range(max(int(sizes.max(initial=0)), 1).bit_length()):
-        width, step = 1 << octave, 2 << octave
-        docs = np.flatnonzero(sizes >= max(MIN_LENGTH, MIN_EXPONENT * width))
+        width, step = window(octave), 1 << octave
+        docs = np.flatnonzero(sizes >= max(MIN_LENGTH, MIN_EXPONENT * step))
         if not len(docs):
             return
-        rare = np.concatenate([[0], np.cumsum(recurs >= step)])
+        rare = np.concatenate([[0], np.cumsum(recurs >= 2 * step)])
         each = (sizes[docs] - width) // step + 1
         doc = np.repeat(docs, each)
         anchor = ragged(np.zeros(len(docs), np.int64), each) * step
@@ -137,7 +148,7 @@ def tiles_of(texts: list[list[bytes]]) -> Iterator[tuple[int, int, int, int, int
         cuts = np.flatnonzero(fresh | (place % max(TILE_WORDS // step, 1) == 0))
         for i, j in zip(cuts.tolist(), np.r_[cuts[1:], len(doc)].tolist()):
             d, first, last = int(doc[i]), int(anchor[i]), int(anchor[j - 1])
-            low, high = max(first - step, 0), min(last + (5 << octave), int(sizes[d]))
+            low, high = max(first - step, 0), min(last + reach(octave), int(sizes[d]))
             words = codes[starts[d] + low : starts[d] + high]
             yield d, octave, first, j - i, low, words.tobytes()
 
@@ -230,7 +241,9 @@ def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _stitched(tiles: DataFrame) -> DataFrame:
     """row, period, start, length of all runs."""
-    dealt = tiles.repartition("row", "octave", "first")
+    # As many tasks as a shuffle has: tiles are small for the work that they make.
+    tasks = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = tiles.repartition(tasks, "row", "octave", "first")
     found = map_arrow(dealt, _solve, "row bigint, period bigint, low bigint, high bigint")
     ordered = Window.partitionBy("row", "period").orderBy("low", "high")
     reached = F.max("high").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
