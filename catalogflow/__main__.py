@@ -35,7 +35,7 @@ from catalogflow.plans.bulkload import prepare_movies, prepare_reviews, stamp_lo
 from catalogflow.session import build_session, clear_work_folders
 from catalogflow.sinks import replace_jdbc, split_jsonl, write_jsonl
 from catalogflow.sources import kafka_stream, read_csv, read_jdbc, read_jsonl, replay_stream
-from catalogflow.streaming import await_all, movies_job, ratings_job, reviews_job
+from catalogflow.streaming import GrowingDimensions, await_all, movies_job, ratings_job, reviews_job
 from catalogflow.streaming.runner import INTERVALS, ONCE
 from catalogflow.tables import Tables
 
@@ -122,6 +122,8 @@ def stream(spark: SparkSession, args) -> None:
         return replay_stream(spark, f"{args.replay}/{topic}", args.max_files)
 
     def dimension(listed: str) -> DataFrame:
+        if args.dimensions is None:
+            raise ValueError("--dimensions is needed unless the names are learned (--learn)")
         if args.dimensions.startswith("jdbc:"):
             return read_jdbc(spark, url=args.dimensions, table=listed)
         return _dimension(spark, f"{args.dimensions}/{listed}", listed)
@@ -129,9 +131,17 @@ def stream(spark: SparkSession, args) -> None:
     def settings(topic: str) -> tuple[str, str]:
         return f"{args.root}/checkpoints/{topic}", ONCE if args.once else INTERVALS[topic]
 
+    dimensions = dimension
+    if args.learn:
+        dimensions = GrowingDimensions.below(tables.path("dimensions"))
+        dimensions.create(spark)
+        for listed, table in dimensions.tables.items():
+            # A table that has learned nothing yet takes over what was made before.
+            if args.dimensions is not None and table.read(spark).isEmpty():
+                table.load(dimension(listed))
     await_all(
         [
-            movies_job(messages("movies"), dimension, tables, *settings("movies")),
+            movies_job(messages("movies"), dimensions, tables, *settings("movies")),
             ratings_job(messages("ratings"), tables, *settings("ratings")),
             reviews_job(messages("reviews"), tables, *settings("reviews")),
         ]
@@ -201,7 +211,9 @@ def _parser() -> argparse.ArgumentParser:
     loads.add_argument("--unscored", action="store_true")
     topics = command("replay", replay_table, "topic", "table", "out")
     topics.add_argument("--per-file", type=int)
-    streams = command("stream", stream, "root", "dimensions")
+    streams = command("stream", stream, "root")
+    streams.add_argument("--dimensions", help="folder or JDBC URL of the dimensions")
+    streams.add_argument("--learn", action="store_true", help="give ids to names that no dimension knows")
     source = streams.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers")
     source.add_argument("--replay")

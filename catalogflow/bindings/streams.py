@@ -18,7 +18,7 @@ from catalogflow.session import work_folder
 from catalogflow.sinks import message_per_row, to_replay
 from catalogflow.sources import replay_stream
 from catalogflow.streaming import (
-    movies_job, ratings_job, reviews_job, running_averages, running_sentiment,
+    GrowingDimensions, movies_job, ratings_job, reviews_job, running_averages, running_sentiment,
 )
 from catalogflow.streaming.stateful import current_averages, current_sentiment
 from catalogflow.tables import Tables
@@ -286,3 +286,39 @@ def stream_unmatched(spark, sf):
     """Names that the dimensions lack."""
     tables = _streamed_movies(spark, sf, gaps=True)
     return tables.read(spark, "unmatched").drop("batch_id")
+
+
+def _growing_movies(spark, sf, slices: int = 5):
+    """The movies job with dimensions that begin empty; films come in slices by their ids.
+
+    Each slice is a run from the same checkpoint that finds new files in the topic.
+    """
+    tables, checkpoints = _tables(spark)
+    topic = work_folder(spark, "topic-movies")
+    dimensions = GrowingDimensions.below(tables.path("dimensions"))
+    movies = _counted(t.movies(spark, sf))
+    inner = [n / slices for n in range(1, slices)]
+    bounds = [None, *movies.approxQuantile("item_id", inner, 0.001), None]
+    for n, (low, high) in enumerate(zip(bounds, bounds[1:])):
+        part = movies
+        if low is not None:
+            part = part.filter(F.col("item_id") > low)
+        if high is not None:
+            part = part.filter(F.col("item_id") <= high)
+        replay("movies", part, f"{topic}/{n}")
+        messages = replay_stream(spark, f"{topic}/*")
+        _run(movies_job, messages, dimensions, tables, f"{checkpoints}/movies")
+    return tables, dimensions
+
+
+@query(t.dimension_sql(*schemas.LISTS["actors"]))
+def stream_growing_dimension(spark, sf):
+    """Actors numbered as their films arrive: the ids of a load of all films at once."""
+    return _growing_movies(spark, sf)[1].tables["actors"].read(spark)
+
+
+@query(f"SELECT item_id, actor_id FROM ({_known_sql('actors')})")
+def stream_growing_bridge(spark, sf):
+    """The actors' bridge beside dimensions that grow: no name is left out."""
+    tables, _ = _growing_movies(spark, sf, slices=3)
+    return tables.read(spark, "movies_actors").select("item_id", "actor_id")

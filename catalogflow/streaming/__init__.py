@@ -1,10 +1,12 @@
 """Structured Streaming jobs."""
 
+from catalogflow.streaming.dimensions import GrowingDimension, GrowingDimensions
 from catalogflow.streaming.jobs import movies_job, ratings_job, reviews_job
 from catalogflow.streaming.runner import await_all, run_stream
 from catalogflow.streaming.stateful import running_averages, running_sentiment
 
 __all__ = [
+    "GrowingDimension", "GrowingDimensions",
     "movies_job", "ratings_job", "reviews_job", "await_all", "run_stream", "running_averages",
     "running_sentiment",
 ]

@@ -23,6 +23,7 @@ from catalogflow.operators.aggregates import rating_totals, review_totals
 from catalogflow.operators.keys import with_keys
 from catalogflow.operators.parsing import parse_movies, parse_ratings, parse_reviews
 from catalogflow.plans.normalize import list_names
+from catalogflow.streaming.dimensions import GrowingDimensions
 from catalogflow.streaming.runner import ONCE, query_id, run_stream
 from catalogflow.tables import Tables
 
@@ -128,7 +129,7 @@ def _listed_names(films: DataFrame, dimensions: Dimensions) -> DataFrame:
 
 def movies_job(
     messages: DataFrame,
-    dimensions: Dimensions,
+    dimensions: Dimensions | GrowingDimensions,
     tables: Tables,
     checkpoint: str,
     trigger: str = ONCE,
@@ -138,19 +139,26 @@ def movies_job(
     ``dimensions(list_name)`` is called in every batch, so entries added since the last
     one are seen. It returns the id and name columns of ``schemas.LISTS``. All lists of a
     batch are cut and looked up once; bridges and unmatched names are parts of that result.
+    ``GrowingDimensions`` first give ids to the names they do not know, so none stays unmatched.
     """
     bridges = [f"movies_{n}" for n in schemas.LISTS]
     tables.create(messages.sparkSession, "movies", "unmatched", "quarantine_movies", *bridges)
+    growing = isinstance(dimensions, GrowingDimensions)
+    if growing:
+        dimensions.create(messages.sparkSession)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         with _kept(batch), _Writer(tables, batch, batch_id) as out:
             good = batch.filter("ok")
             films = good.withColumn("year", title_year(F.col("title")))
             out.append(films.withColumn("avgRating", F.lit(0.0)), "movies")
-            with _kept(_listed_names(good, dimensions)) as names:
+            if growing:
+                dimensions.learn(good, out.run, batch_id)
+            known = dimensions.reader(out.spark) if growing else dimensions
+            with _kept(_listed_names(good, known)) as names:
                 for listed, (_, _, id_name, _) in schemas.LISTS.items():
-                    known = names.filter((F.col("kind") == listed) & F.col("id").isNotNull())
-                    out.append(known.withColumnRenamed("id", id_name), f"movies_{listed}")
+                    found = names.filter((F.col("kind") == listed) & F.col("id").isNotNull())
+                    out.append(found.withColumnRenamed("id", id_name), f"movies_{listed}")
                 out.append(names.filter("id is null"), "unmatched")
             out.quarantine(batch, "movies")
 

@@ -77,6 +77,11 @@ def test_from_sources_to_snapshot(spark, rows, tmp_path, capsys):
     assert rows(loaded, "avgRating", "positive_reviews") == [(3.5, 3)] * 16
     assert spark.read.parquet(at("live", "movies_genres")).count() == 8
 
+    run("stream", "--root", at("learned"), "--learn", "--replay", at("topics"), "--once")
+    assert spark.read.parquet(at("learned", "movies_genres")).count() == 8
+    assert spark.read.parquet(at("learned", "unmatched")).isEmpty()
+    assert spark.read.parquet(at("learned", "dimensions", "directors")).count() == 1
+
     run("compact", "--root", at("live"))
     run("compact", "--root", at("live"), "--vacuum", "--table", "ratings")
     run("serve", "--root", at("live"), "--out", at("served"))
