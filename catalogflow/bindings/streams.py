@@ -11,15 +11,17 @@ from catalogflow import schemas
 from catalogflow.bindings import tables as t
 from catalogflow.bindings.catalogue import REVIEW_TOTALS_SQL, SNAPSHOT_SQL
 from catalogflow.bindings.registry import query
-from catalogflow.operators.aggregates import add_rating_totals, average
+from catalogflow.operators.aggregates import add_rating_totals, add_review_totals, average
 from catalogflow.plans import bulk_load, current_movies, normalize, replay, serving, stamp_loaded
-from catalogflow.plans.bulkload import prepare_movies
+from catalogflow.plans.bulkload import prepare_movies, prepare_reviews
 from catalogflow.session import work_folder
 from catalogflow.sinks import message_per_row, to_replay
 from catalogflow.sources import replay_stream
 from catalogflow.streaming import (
-    GrowingDimensions, movies_job, ratings_job, reviews_job, running_averages, running_sentiment,
+    GrowingDimensions, averages_after_load, movies_job, ratings_job, reviews_job, running_averages, running_sentiment,
+    sentiment_after_load,
 )
+from catalogflow.streaming.history import averages_so_far, sentiment_so_far
 from catalogflow.streaming.stateful import current_averages, current_sentiment
 from catalogflow.tables import Tables
 
@@ -94,6 +96,45 @@ def stream_avg_rating_state(spark, sf):
     return current_averages(spark, tables.path("running"))
 
 
+def _halves(spark, sf):
+    """The ratings of lines by status: those to be loaded and those to be streamed."""
+    lines = t.load(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("item_id"),
+        F.col("l_suppkey").alias("user_id"),
+        F.col("l_quantity").alias("rating"),
+        "l_linestatus",
+    )
+    return [lines.filter(F.col("l_linestatus") == s).drop("l_linestatus") for s in "OF"]
+
+
+@query(f"SELECT item_id, {t.AVERAGE} FROM ({t.RATINGS}) GROUP BY item_id")
+def stream_state_after_load(spark, sf):
+    """Half of the ratings loaded; the state that the others go to begins with their totals."""
+    tables, checkpoints = _tables(spark)
+    old, new = _halves(spark, sf)
+    bulk_load({"ratings": stamp_loaded(old)}, tables)
+    loaded = add_rating_totals(tables.read(spark, "rating_totals"))
+    running = tables.path("running")
+    messages = _messages(spark, "ratings", new)
+    _run(averages_after_load, messages, loaded, running, f"{checkpoints}/running")
+    return averages_so_far(spark, running, loaded)
+
+
+@query(REVIEW_TOTALS_SQL)
+def stream_sentiment_after_load(spark, sf):
+    """Reviews with odd event ids loaded, the others streamed on top of their counters."""
+    tables, checkpoints = _tables(spark)
+    reviews = t.reviews(spark, sf, F.col("event_id"))
+    odd = F.col("event_id") % 2 == 1
+    old, new = (reviews.filter(side).drop("event_id") for side in (odd, ~odd))
+    bulk_load({"reviews": prepare_reviews(old)}, tables)
+    loaded = add_review_totals(tables.read(spark, "review_totals"))
+    running = tables.path("running")
+    messages = _messages(spark, "reviews", new)
+    _run(sentiment_after_load, messages, loaded, running, f"{checkpoints}/running")
+    return sentiment_so_far(spark, running, loaded)
+
+
 @query(REVIEW_TOTALS_SQL)
 def stream_sentiment_state(spark, sf):
     tables, checkpoints = _tables(spark)

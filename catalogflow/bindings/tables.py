@@ -75,13 +75,13 @@ _REVIEW_TEXTS = {
 }
 
 
-def reviews(spark: SparkSession, sf: str) -> DataFrame:
-    """item_id, txt from ``events``."""
+def reviews(spark: SparkSession, sf: str, *more: Column) -> DataFrame:
+    """item_id, txt from ``events``, and ``more`` of it."""
     text = F.lit("")
     for kind, words in _REVIEW_TEXTS.items():
         text = F.when(F.col("event_type") == kind, words).otherwise(text)
     return load(spark, sf, "events").select(
-        F.col("user_id").alias("item_id"), F.concat(text, F.lit(" "), "props").alias("txt")
+        F.col("user_id").alias("item_id"), F.concat(text, F.lit(" "), "props").alias("txt"), *more
     )
 
 

@@ -21,21 +21,26 @@ from catalogflow.sinks import append_batch, create_table
 from catalogflow.sources import read_table
 from catalogflow.streaming.runner import ONCE, query_id, run_stream
 
-# Files of one batch's changed totals.
-FILES = 4
+# Rows of one file of a batch's changed totals.
+FILE_ROWS = 1_000_000
 
 
-def _keep_versions(
+def keep_versions(
     totals: DataFrame, table: str, checkpoint: str, trigger: str
 ) -> StreamingQuery:
     """Write the changed totals of each batch as that batch's version.
 
-    A batch comes in as many parts as the state has, however few rows it changed, and is
-    written as ``FILES`` files.
+    A batch comes in as many parts as the state has, however few rows it changed; it is counted
+    and written in files of about ``FILE_ROWS``.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        append_batch(batch.repartition(FILES), table, batch_id, query_id(batch))
+        batch.persist()
+        try:
+            files = batch.count() // FILE_ROWS + 1
+            append_batch(batch.repartition(files), table, batch_id, query_id(batch))
+        finally:
+            batch.unpersist()
 
     return run_stream(totals, process, checkpoint, trigger, "update")
 
@@ -52,7 +57,7 @@ def running_averages(
 ) -> StreamingQuery:
     create_table(messages.sparkSession, table, schemas.RATING_TOTALS)
     totals = rating_totals(accepted(parse_ratings(messages)))
-    return _keep_versions(totals, table, checkpoint, trigger)
+    return keep_versions(totals, table, checkpoint, trigger)
 
 
 def running_sentiment(
@@ -61,7 +66,7 @@ def running_sentiment(
     create_table(messages.sparkSession, table, schemas.REVIEW_TOTALS)
     reviews = accepted(parse_reviews(messages))
     totals = review_totals(reviews.withColumn("sentiment", sentiment(F.col("txt"))))
-    return _keep_versions(totals, table, checkpoint, trigger)
+    return keep_versions(totals, table, checkpoint, trigger)
 
 
 def current_averages(spark: SparkSession, table: str) -> DataFrame:
