@@ -14,9 +14,8 @@ that is written once; between tasks only one number for each of them is carried.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Mapping
-from itertools import count, islice
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalogflow.llm.blocks import _column, blocks_of, map_arrow
+from catalogflow.llm.pair_bpe import PIECES, PairIndexEncoder
 from catalogflow.session import materialize
 
 SEQUENCE = 2048
@@ -35,68 +35,40 @@ BLOCK_BYTES = 4 << 20
 #: Fixed value: the id after each document.
 END = 1
 
-#: Parts of texts whose ids a worker keeps, and the longest one kept.
-KEPT_PARTS, KEPT_CHARS = 500_000, 48
 
-# A token begins at a space that has no white space beside it, so a text may be cut there and its
-# parts be encoded one by one.
-_LONE_SPACE = re.compile(r"(?<!\s) (?!\s)")
-_RARE_SPACE = re.compile(r"[^\S \n]")
+class RankEncoder:
+    """Ids of texts by a byte-level BPE file of the ``tokenizers`` format.
 
+    The merges of such a file are numbered in the order of their ranks, so a token's id is its rank;
+    then ``tiktoken`` gives the ids that the tokenizers library gives (the tests compare them).
+    """
 
-def parts_of(text: str) -> list[str]:
-    """The text cut at its lone spaces, which are left out."""
-    if _RARE_SPACE.search(text) or "  " in text or " \n" in text or "\n " in text:
-        return _LONE_SPACE.split(text)
-    return text.split(" ")
+    def __init__(self, path: str):
+        import tiktoken
 
+        spec = PairIndexEncoder(path)
+        if (np.diff(spec.made) <= 0).any():
+            raise ValueError(f"{path} does not number its merges in the order of their ranks")
+        special = set(spec.special.values())
+        ranks = {token: i for i, token in enumerate(spec.bytes_of) if i not in special}
+        self.ranks = tiktoken.Encoding(
+            path, pat_str=PIECES, mergeable_ranks=ranks, special_tokens=spec.special
+        )
+        self.kind = np.dtype("<u2" if len(spec.bytes_of) <= 1 << 16 else "<u4")
 
-class PartEncoder:
-    """Ids of texts by the tokenizers library; each part between lone spaces is encoded once."""
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text with ``END`` behind them; special strings inside it become their ids."""
+        ids = self.ranks.encode_to_numpy(text, allowed_special="all")
+        return np.append(ids, END).astype(self.kind)
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.end = np.array([END], self.kind).tobytes()
-        self.kept: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text with ``END`` behind them, as little-endian numbers of ``kind``."""
-        cut = [parts_of(text) for text in texts]
-        # A part is known by what follows its space; the first one of a text has none.
-        missing = {p for parts in cut for p in islice(parts, 1, None) if p not in self.kept}
-        missing = list(missing)
-        fresh = dict(zip(missing, self._ids([" " + p for p in missing])))
-        firsts = self._ids([parts[0] for parts in cut])
-        self.kept.update(fresh)
-        out = [
-            b"".join([first, *map(self.kept.__getitem__, islice(parts, 1, None)), self.end])
-            for first, parts in zip(firsts, cut)
-        ]
-        if len(self.kept) > KEPT_PARTS:
-            self.kept.clear()
-        else:
-            for part in fresh:
-                if len(part) > KEPT_CHARS:
-                    del self.kept[part]
-        return out
-
-    def _ids(self, parts: list[str]) -> Iterator[bytes]:
-        for found in self.library.encode_batch_fast(parts, add_special_tokens=False):
-            yield np.array(found.ids, self.kind).tobytes()
-
-
-_loaded: dict[str, PartEncoder] = {}
-
-
-def encoder(path: str) -> PartEncoder:
+
+_loaded: dict[str, RankEncoder] = {}
+
+
+def encoder(path: str) -> RankEncoder:
     """The encoder of a file, loaded once in each Python worker."""
     if path not in _loaded:
-        _loaded[path] = PartEncoder(path)
+        _loaded[path] = RankEncoder(path)
     return _loaded[path]
 
 
@@ -114,19 +86,19 @@ def _packets(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, codec = count(TaskContext.get().partitionId() << 33), encoder(path)
-        size = codec.kind.itemsize
         for batch in batches:
             for at, texts in blocks_of(batch.column(1), BLOCK_BYTES):
                 of, packet, tokens, start, length, ids = [], [], [], [], [], []
-                for i, data in enumerate(codec.encode(texts)):
-                    n = len(data) // size
+                for i, text in enumerate(texts):
+                    found = codec.encode(text)
+                    n = len(found)
                     for k, s in enumerate(range(0, n, SEQUENCE)):
                         of.append(i)
                         packet.append(k)
                         tokens.append(n)
                         start.append(s)
                         length.append(min(SEQUENCE, n - s))
-                        ids.append(data[s * size : (s + SEQUENCE) * size])
+                        ids.append(found[s : s + SEQUENCE].tobytes())
                 rows = np.fromiter((next(numbers) for _ in texts), np.int64, len(texts))
                 taken = pa.array(of, pa.int64())
                 yield pa.RecordBatch.from_arrays(
