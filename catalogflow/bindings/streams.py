@@ -18,7 +18,7 @@ from catalogflow.session import work_folder
 from catalogflow.sinks import message_per_row, to_replay
 from catalogflow.sources import replay_stream
 from catalogflow.streaming import (
-    GrowingDimensions, averages_after_load, movies_job, ratings_job, reviews_job, running_averages, running_sentiment,
+    Catalogue, GrowingDimensions, averages_after_load, catalogue_job, movies_job, ratings_job, reviews_job, running_averages, running_sentiment,
     sentiment_after_load,
 )
 from catalogflow.streaming.history import averages_so_far, sentiment_so_far
@@ -363,3 +363,46 @@ def stream_growing_bridge(spark, sf):
     """The actors' bridge beside dimensions that grow: no name is left out."""
     tables, _ = _growing_movies(spark, sf, slices=3)
     return tables.read(spark, "movies_actors").select("item_id", "actor_id")
+
+
+def _maintained(spark, sf, late: bool):
+    """The keyed tables after all topics; ``late``: every second film comes after all the rest."""
+    root = work_folder(spark, "catalogue")
+    catalogue = Catalogue.below(root, parts=16)
+    topics = {n: f"{root}/topics/{n}" for n in ("movies", "ratings", "reviews")}
+    movies = _counted(t.movies(spark, sf))
+    even = F.col("item_id") % 2 == 0
+    sent = [
+        ("movies", movies.filter(even) if late else movies),
+        ("ratings", t.ratings(spark, sf)),
+        ("reviews", t.reviews(spark, sf)),
+    ]
+    for topic, frame in sent:
+        replay(topic, frame, f"{topics[topic]}/0")
+
+    def run():
+        streams = {n: replay_stream(spark, f"{path}/*") for n, path in topics.items()}
+        catalogue_job(streams, catalogue, f"{root}/checkpoint").awaitTermination()
+
+    run()
+    if late:
+        replay("movies", movies.filter(~even), f"{topics['movies']}/1")
+        run()
+    return catalogue
+
+
+@query(SNAPSHOT_SQL)
+def stream_snapshot_keyed(spark, sf):
+    """The movie table kept row by row; half of the films come after their ratings."""
+    counters = [f"{s}_reviews" for s in ("positive", "negative", "neutral")]
+    movies = _maintained(spark, sf, late=True).movies(spark)
+    return movies.select("item_id", "title", "avgRating", *counters)
+
+
+@query(
+    f"SELECT title, count(*) AS ratings FROM ({t.RATINGS}) JOIN ({t.MOVIES}) USING (item_id) "
+    "GROUP BY title"
+)
+def stream_ratings_per_title(spark, sf):
+    """Ratings per title kept by the changes of both sides, with late films."""
+    return _maintained(spark, sf, late=True).ratings_per_title(spark)
