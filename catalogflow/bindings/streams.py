@@ -329,7 +329,7 @@ def stream_unmatched(spark, sf):
     return tables.read(spark, "unmatched").drop("batch_id")
 
 
-def _growing_movies(spark, sf, slices: int = 5):
+def _growing_movies(spark, sf, slices: int = 4):
     """The movies job with dimensions that begin empty; films come in slices by their ids.
 
     Each slice is a run from the same checkpoint that finds new files in the topic.
@@ -361,7 +361,7 @@ def stream_growing_dimension(spark, sf):
 @query(f"SELECT item_id, actor_id FROM ({_known_sql('actors')})")
 def stream_growing_bridge(spark, sf):
     """The actors' bridge beside dimensions that grow: no name is left out."""
-    tables, _ = _growing_movies(spark, sf, slices=3)
+    tables, _ = _growing_movies(spark, sf, slices=2)
     return tables.read(spark, "movies_actors").select("item_id", "actor_id")
 
 

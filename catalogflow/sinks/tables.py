@@ -20,25 +20,36 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def append_batch(frame: DataFrame, table: str, batch_id: int, run: str = "0") -> None:
+def append_batch(
+    frame: DataFrame, table: str, batch_id: int, run: str = "0", by: str | None = None
+) -> None:
     """Add a batch to an append-only table; writing it again changes nothing.
 
     Each batch owns one folder, named by the run that counts it and its number, so a retry
     replaces exactly what the failed attempt left behind, and a run that counts from 0 again
-    (a new checkpoint, another topic) replaces nothing of an older one.
+    (a new checkpoint, another topic) replaces nothing of an older one. Inside it rows may lie in
+    partitions ``by`` a column.
     """
-    frame.write.mode("overwrite").parquet(f"{table}/run={run}/batch_id={batch_id}")
+    writer = frame.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if by is not None:
+        writer = writer.partitionBy(by)
+    writer.parquet(f"{table}/run={run}/batch_id={batch_id}")
 
 
 def create_table(
-    spark: SparkSession, table: str, schema: T.StructType, replace: bool = False
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    replace: bool = False,
+    by: str | None = None,
 ) -> None:
     """An empty append-only table, unless there is one already; with ``replace`` in any case."""
     nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
     empty = spark.range(0).select(*nothing)
     if replace:
         delete_folder(spark, table)
-    empty.write.mode("ignore").parquet(f"{table}/run={EMPTY_RUN}/batch_id=-1")
+    inner = f"/{by}=-1" if by is not None else ""
+    empty.write.mode("ignore").parquet(f"{table}/run={EMPTY_RUN}/batch_id=-1{inner}")
 
 
 def _with_types(frame: DataFrame, types: Mapping[str, str]) -> DataFrame:

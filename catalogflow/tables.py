@@ -3,6 +3,9 @@
 A batch is visible once its commit entry is there, which is written after all of its tables.
 So readers see a batch whole or not at all, whatever breaks between two writes. Compaction
 writes the visible batches of a table as one and, with a single entry, puts it in their place.
+
+Tables whose rows have an ingest time are partitioned by its hour, so recent rows are found by
+pruning partitions, without the entries.
 """
 
 from __future__ import annotations
@@ -37,6 +40,12 @@ _BRIDGES = {f"movies_{n}": schemas.bridge(listed[2]) for n, listed in schemas.LI
 _QUARANTINES = {f"quarantine_{n}": schemas.QUARANTINE for n in ("movies", "ratings", "reviews")}
 SCHEMAS: dict[str, T.StructType] = _FIXED | _BRIDGES | _QUARANTINES
 
+# The partition of tables with an ingest time: whole hours since 1970, in UTC.
+HOUR = "hour"
+TIMED = {n for n, schema in SCHEMAS.items() if "ingest_ts" in schema.names}
+# Batches of timed tables are compacted once they are older than recent rows can be.
+SETTLED = timedelta(days=1)
+
 # What compaction may do to rows besides putting them together.
 COMBINE: dict[str, Callable[[DataFrame], DataFrame]] = {
     "rating_totals": add_rating_totals,
@@ -44,6 +53,14 @@ COMBINE: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def _hour(at: Column) -> Column:
+    return F.floor(F.unix_seconds(at) / 3600).cast("bigint")
+
+
+def _by(name: str) -> str | None:
+    return HOUR if name in TIMED else None
+
+
 @dataclass(frozen=True)
 class Tables:
     root: str
@@ -55,7 +72,7 @@ class Tables:
         """Empty tables and logs, where there are none."""
         create_table(spark, self.path("_commits"), schemas.COMMIT)
         for name in names:
-            create_table(spark, self.path(name), SCHEMAS[name])
+            create_table(spark, self.path(name), SCHEMAS[name], by=_by(name))
             create_table(spark, self._compactions(name), schemas.COMPACTION)
 
     def _compactions(self, name: str) -> str:
@@ -63,7 +80,7 @@ class Tables:
 
     def append(self, frame: DataFrame, name: str, batch_id: int, run: str) -> None:
         """Write one table of a batch; nobody sees it before ``commit``."""
-        append_batch(self._shaped(frame, name), self.path(name), batch_id, run)
+        append_batch(self._shaped(frame, name), self.path(name), batch_id, run, _by(name))
 
     def commit(self, spark: SparkSession, batch_id: int, run: str) -> None:
         """Make all tables of a batch visible at once."""
@@ -90,19 +107,18 @@ class Tables:
     def recent(
         self, spark: SparkSession, name: str, as_of: Column, window: timedelta = timedelta(minutes=5)
     ) -> DataFrame:
-        """Rows stamped within ``window`` before ``as_of``.
+        """Rows stamped within ``window`` before ``as_of``, of the partitions of these hours.
 
-        A batch is committed after its rows are stamped, so only folders committed since then
-        are read: their names are few, and become a filter on partitions.
+        Rows of a batch whose other tables are still being written are shown already. A window
+        longer than what compaction leaves alone is read by the batches that make up the table.
         """
-        late = self.visible(spark, name).filter(F.col("committed_at") > as_of - F.lit(window))
-        of_run: dict[str, list[int]] = {}
-        for r in late.select("run", "batch_id").distinct().collect():
-            of_run.setdefault(r.run, []).append(r.batch_id)
-        folders = F.lit(False)
-        for run, batches in sorted(of_run.items()):
-            folders |= (F.col("run") == run) & F.col("batch_id").isin(sorted(batches))
-        rows = read_table(spark, self.path(name), SCHEMAS[name], with_run=True).filter(folders)
+        if name not in TIMED:
+            raise ValueError(f"rows of {name} have no ingest time")
+        if window > SETTLED:
+            return recent(self.read(spark, name).drop("batch_id"), as_of, window)
+        hours = T.StructType([*SCHEMAS[name], T.StructField(HOUR, T.LongType())])
+        rows = read_table(spark, self.path(name), hours)
+        rows = rows.filter(F.col(HOUR) >= _hour(as_of - F.lit(window)))
         return recent(rows.select(*SCHEMAS[name].names), as_of, window)
 
     def lookup(self, spark: SparkSession, name: str, item_id: int) -> DataFrame:
@@ -112,9 +128,13 @@ class Tables:
     def compact(self, spark: SparkSession, name: str) -> None:
         """Put the visible batches of a table together as one; totals are added up.
 
-        Readers that began before go on with the old folders, which stay until ``vacuum``.
+        Of a table with ingest times only batches older than ``SETTLED`` are taken, as recent rows
+        are read without the entries that tell which of two copies counts. Readers that began before go on with the old folders, which stay until ``vacuum``.
         """
-        batches = self.visible(spark, name).select("run", "batch_id").distinct()
+        batches = self.visible(spark, name)
+        if name in TIMED:
+            batches = batches.filter(F.col("committed_at") < F.current_timestamp() - F.lit(SETTLED))
+        batches = batches.select("run", "batch_id").distinct()
         rows = read_table(spark, self.path(name), SCHEMAS[name], with_run=True)
         # One list for data and entry: a batch committed meanwhile stays as it is.
         listed = [tuple(r) for r in batches.collect()]
@@ -124,7 +144,7 @@ class Tables:
         kept = rows.join(batches, ["run", "batch_id"], "left_semi").drop("run", "batch_id")
         run = f"compact-{uuid.uuid4().hex}"
         combine = COMBINE.get(name, lambda frame: frame.hint("rebalance"))
-        append_batch(self._shaped(combine(kept), name), self.path(name), 0, run)
+        append_batch(self._shaped(combine(kept), name), self.path(name), 0, run, _by(name))
         entry = batches.select(
             F.col("run").alias("of_run"),
             F.col("batch_id").alias("of_batch"),
@@ -146,7 +166,7 @@ class Tables:
             .withColumns({"run": F.lit(LOADED_RUN), "batch_id": F.lit(LOADED)})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
-            .partitionBy("run", "batch_id")
+            .partitionBy("run", "batch_id", *([HOUR] if name in TIMED else []))
             .parquet(self.path(name))
         )
         # What was compacted is gone with the rest.
@@ -158,4 +178,7 @@ class Tables:
 
     @staticmethod
     def _shaped(frame: DataFrame, name: str) -> DataFrame:
-        return frame.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name]])
+        columns = [F.col(f.name).cast(f.dataType) for f in SCHEMAS[name]]
+        if name in TIMED:
+            columns.append(_hour(F.col("ingest_ts").cast("timestamp")).alias(HOUR))
+        return frame.select(*columns)

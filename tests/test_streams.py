@@ -1,4 +1,5 @@
 import json
+from datetime import timedelta
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -103,10 +104,33 @@ def test_recent_reads_few_folders(spark, topic, tables, tmp_path):
     found = tables.recent(spark, "ratings", now)
     assert found.count() == 60
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull" in plan or "PartitionFilters: [(run" in plan
+    assert "PartitionFilters: [isnotnull(hour" in plan and "_commits" not in plan
     assert tables.recent(spark, "ratings", F.lit("2030-01-01").cast("timestamp")).count() == 0
 
 
+def test_recent_rows_of_other_hours_are_not_read(spark, rows, topic, tables, tmp_path):
+    """Loaded rows are a week old: their partition is pruned, whatever the table is."""
+    loaded = spark.createDataFrame([(1, 9, 5.0)], "item_id bigint, user_id bigint, rating double")
+    bulk_load({"ratings": stamp_loaded(loaded)}, tables)
+    _run(spark, ratings_job, topic("ratings", DATA), tables, str(tmp_path / "cp"))
+    now = F.current_timestamp()
+    found = tables.recent(spark, "ratings", now, timedelta(hours=2))
+    assert found.count() == 60
+    week = tables.recent(spark, "ratings", now, timedelta(days=8))
+    assert week.count() == 61
+    with pytest.raises(ValueError):
+        tables.recent(spark, "rating_totals", now)
+
+
+def test_compacting_leaves_recent_rows_alone(spark, rows, topic, tables, tmp_path):
+    _run(spark, ratings_job, topic("ratings", DATA), tables, str(tmp_path / "cp"))
+    for name in ("ratings", "rating_totals"):
+        tables.compact(spark, name)
+    assert tables.recent(spark, "ratings", F.current_timestamp()).count() == 60
+    assert tables.read(spark, "ratings").count() == 60
+    assert tables.visible(spark, "rating_totals").filter("batch_id >= 0").count() == 1
+
+
 def test_state_is_written_in_few_files(spark, topic, tmp_path):
     table = str(tmp_path / "running")
     spark.conf.set("spark.sql.shuffle.partitions", "40")
