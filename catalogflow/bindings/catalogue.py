@@ -9,12 +9,13 @@ from catalogflow.bindings import tables as t
 from catalogflow.bindings.registry import query
 from catalogflow.functions import sentiment
 from catalogflow.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS
-from catalogflow.operators import aggregates, keys, profiling
+from catalogflow.operators import aggregates, keys, profiling, summaries
 from catalogflow.operators.numbering import factorize
 from catalogflow.plans import (
     holdout, link_catalogue, lookup, merge_catalogue, movie_snapshot, normalize, unmatched,
 )
 from catalogflow.plans.normalize import list_names
+from catalogflow.session import work_folder
 
 # --- lists -------------------------------------------------------------------------
 
@@ -363,3 +364,49 @@ def histogram_50(spark, sf):
 @query(_histogram_sql("lineitem", "l_extendedprice", 10))
 def histogram_10(spark, sf):
     return profiling.histogram(t.load(spark, sf, "lineitem"), "l_extendedprice")
+
+
+# --- profiles from mergeable summaries ---------------------------------------------
+
+
+@query(_profile_sql("non_null", "nulls", "empty", "distinct_values", types=True))
+def profile_of_batches(spark, sf):
+    """The profile of a table that came in three batches, one of them twice, from stored sketches.
+
+    The distinct counts are estimates: each is given as the exact count where it is within the
+    sketch's bound (four standard errors), so another value shows.
+    """
+    frame = _with_gaps(spark, sf)
+    store = summaries.ProfileStore(work_folder(spark, "profile"))
+    key = frame.columns[0]
+    for n in (0, 1, 2, 1):
+        store.add(frame.filter(F.pmod(F.xxhash64(key), F.lit(3)) == n), n)
+    found = store.read(spark).drop("quantiles")
+    exact = profiling.distinct_counts(frame).withColumnRenamed("distinct_values", "exact")
+    off = F.abs(F.col("distinct_values") - F.col("exact"))
+    bound = 4 * 1.04 / 2 ** (summaries.HLL_BITS / 2) * F.col("exact") + 0.5
+    value = F.when(off <= bound, F.col("exact")).otherwise(F.col("distinct_values"))
+    return found.join(exact, "column").withColumn("distinct_values", value).drop("exact")
+
+
+@query(
+    "SELECT l_suppkey, count(*) AS count FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 "
+    "ELSE l_suppkey END AS l_suppkey FROM lineitem) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"
+)
+def top_values(spark, sf):
+    """The ten most frequent suppliers, one of them on a third of all lines."""
+    hot = F.when(F.col("l_orderkey") % 3 == 0, 0).otherwise(F.col("l_suppkey")).cast("bigint")
+    return summaries.top_values(
+        t.load(spark, sf, "lineitem").select(hot.alias("l_suppkey")), "l_suppkey", 10
+    )
+
+
+@query("SELECT l_orderkey, count(*) AS count FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25")
+def top_values_even(spark, sf):
+    """Keys none of which is frequent: the summary proves little and the rest is counted."""
+    return summaries.top_values(t.load(spark, sf, "lineitem"), "l_orderkey", 25)
+
+
+@query(_histogram_sql("events", "value", 50))
+def histogram_one_pass(spark, sf):
+    return summaries.histogram_of_dyadic_bins(t.load(spark, sf, "events"), "value", 50)

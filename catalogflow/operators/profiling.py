@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,22 +104,31 @@ def histogram(frame: DataFrame, column: str, bins: int = 10) -> DataFrame:
     value = F.col(column).cast("double")
     known = frame.select(value.alias("_v")).filter(F.abs("_v") < F.lit(float("inf")))
     low, high = known.agg(F.min("_v"), F.max("_v")).first()
+    slot, edges = histogram_edges(frame.sparkSession, low, high, bins)
+    counts = known.groupBy(slot(F.col("_v")).alias("bin")).agg(F.count("*").alias("count"))
+    return edges.join(counts, "bin", "left").select(
+        "bin", "lower", F.coalesce("count", F.lit(0)).alias("count")
+    )
+
+
+def histogram_edges(
+    spark: SparkSession, low: float | None, high: float | None, bins: int
+) -> tuple[Callable[[Column], Column], DataFrame]:
+    """The bin of a value between the extremes, and every bin with its lower edge."""
     if low is None:
         low, high = 0.0, 1.0
     elif low == high:
         low, high = low - 0.5, high + 0.5
-    slot = F.floor((F.col("_v") - F.lit(low)) / F.lit(high - low) * F.lit(bins))
-    counts = (
-        known.groupBy(F.least(slot, F.lit(bins - 1)).cast("bigint").alias("bin"))
-        .agg(F.count("*").alias("count"))
-    )
-    edges = frame.sparkSession.range(bins).select(
+
+    def slot(value: Column) -> Column:
+        at = F.floor((value - F.lit(low)) / F.lit(high - low) * F.lit(bins))
+        return F.least(at, F.lit(bins - 1)).cast("bigint")
+
+    edges = spark.range(bins).select(
         F.col("id").alias("bin"),
         (F.lit(low) + F.col("id") * F.lit(high - low) / F.lit(bins)).alias("lower"),
     )
-    return edges.join(counts, "bin", "left").select(
-        "bin", "lower", F.coalesce("count", F.lit(0)).alias("count")
-    )
+    return slot, edges
 
 
 def preview(frame: DataFrame, n: int = 5) -> None:
