@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,11 +62,22 @@ def work_folder(spark: SparkSession, label: str) -> str:
 _folders: dict[str, list[str]] = {}
 
 
-def clear_work_folders(spark: SparkSession) -> None:
-    """Delete the work folders of this application; no frame that reads one may be used later."""
-    for folder in _folders.pop(spark.sparkContext.applicationId, []):
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def work_folders(spark: SparkSession) -> tuple[str, ...]:
+    """The work folders given out to this application and not cleared since."""
+    return tuple(_folders.get(spark.sparkContext.applicationId, ()))
+
+
+def clear_work_folders(spark: SparkSession, folders: Iterable[str] | None = None) -> None:
+    """Delete work folders of this application, all of them unless ``folders`` are named.
+
+    No frame that reads one may be used later.
+    """
+    given = _folders.get(spark.sparkContext.applicationId, [])
+    for folder in list(given if folders is None else folders):
+        if folder in given:
+            given.remove(folder)
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(frame: DataFrame, label: str) -> DataFrame:
