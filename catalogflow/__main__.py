@@ -36,6 +36,7 @@ from catalogflow.session import build_session, clear_work_folders
 from catalogflow.sinks import replace_jdbc, split_jsonl, write_jsonl
 from catalogflow.sources import kafka_stream, read_csv, read_jdbc, read_jsonl, replay_stream
 from catalogflow.streaming import GrowingDimensions, await_all, movies_job, ratings_job, reviews_job
+from catalogflow.streaming.progress import ProgressLog
 from catalogflow.streaming.runner import INTERVALS, ONCE
 from catalogflow.tables import Tables
 
@@ -139,13 +140,18 @@ def stream(spark: SparkSession, args) -> None:
             # A table that has learned nothing yet takes over what was made before.
             if args.dimensions is not None and table.read(spark).isEmpty():
                 table.load(dimension(listed))
-    await_all(
-        [
-            movies_job(messages("movies"), dimensions, tables, *settings("movies")),
-            ratings_job(messages("ratings"), tables, *settings("ratings")),
-            reviews_job(messages("reviews"), tables, *settings("reviews")),
-        ]
-    )
+    progress = ProgressLog(tables.path("progress")).attach(spark)
+    try:
+        await_all(
+            [
+                movies_job(messages("movies"), dimensions, tables, *settings("movies"), name="movies"),
+                ratings_job(messages("ratings"), tables, *settings("ratings"), name="ratings"),
+                reviews_job(messages("reviews"), tables, *settings("reviews"), name="reviews"),
+            ],
+            each_poll=lambda: progress.write(spark),
+        )
+    finally:
+        progress.detach(spark)
 
 
 def snapshot(spark: SparkSession, args) -> None:

@@ -16,6 +16,7 @@ from catalogflow.plans import (
 )
 from catalogflow.plans.normalize import list_names
 from catalogflow.session import work_folder
+from catalogflow.sinks import bucket_table
 
 # --- lists -------------------------------------------------------------------------
 
@@ -68,6 +69,50 @@ def lookup_unmatched(spark, sf):
     return unmatched(_actor_names(spark, sf), _partial_dimension(spark, sf), "actor_name")
 
 
+@query(
+    f"SELECT item_id, actor_id FROM ({t.names_sql('starring', 'mixed', 'actor_name')}) "
+    f"JOIN ({t.dimension_sql(*_ACTORS)}) USING (actor_name)"
+)
+def bucketed_lookup(spark, sf):
+    """Names looked up in a dimension that lies in buckets by name."""
+    dimension = normalize(t.movies(spark, sf), *_ACTORS).dimension
+    folder = work_folder(spark, "bucketed")
+    table = f"actors_{folder[-32:]}"
+    bucket_table(dimension, table, "actor_name", 8, folder)
+    return lookup(_actor_names(spark, sf), spark.table(table), "actor_name", "actor_id")
+
+
+_SPARSE_NAMES = (
+    f"SELECT * FROM ({t.names_sql('starring', 'mixed', 'actor_name')}) "
+    "WHERE item_id % 7 <> 0 AND actor_name <> '' "
+    f"UNION ALL SELECT item_id, CAST(0 AS INTEGER), NULL FROM ({t.MOVIES}) WHERE item_id % 7 = 0"
+)
+_SPARSE_DIMENSION = (
+    "SELECT row_number() OVER (ORDER BY min(item_id * 1000 + pos)) AS actor_id, actor_name "
+    f"FROM ({_SPARSE_NAMES}) GROUP BY actor_name"
+)
+
+
+def _sparse(spark, sf):
+    """Every seventh film has no list of actors; null lists kept, empty parts dropped, no repeats."""
+    movies = t.movies(spark, sf)
+    movies = movies.withColumn("starring", F.when(F.col("item_id") % 7 != 0, F.col("starring")))
+    return normalize(movies, *_ACTORS, keep_null=True, drop_empty=True, dedup=True)
+
+
+@query(_SPARSE_DIMENSION)
+def dim_actors_sparse(spark, sf):
+    return _sparse(spark, sf).dimension
+
+
+@query(
+    f"SELECT DISTINCT n.item_id, d.actor_id FROM ({_SPARSE_NAMES}) n JOIN ({_SPARSE_DIMENSION}) d "
+    "ON n.actor_name IS NOT DISTINCT FROM d.actor_name"
+)
+def bridge_actors_sparse(spark, sf):
+    return _sparse(spark, sf).bridge
+
+
 _FACTORIZED = (
     'SELECT row_number() OVER (ORDER BY min(item_id)) - 1 AS code, "directedBy" '
     f'FROM ({t.MOVIES}) GROUP BY "directedBy"'

@@ -12,7 +12,9 @@ from catalogflow.functions import ago_text, local_text, parse_local_text, sentim
 from catalogflow.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS
 from catalogflow.operators import keys, sampling
 from catalogflow.operators.aggregates import average_ratings
-from catalogflow.operators.parsing import accepted, parse_movies, parse_ratings, rejected
+from catalogflow.operators.parsing import (
+    accepted, parse_movies, parse_ratings, parse_reviews, rejected,
+)
 from catalogflow.plans import rated_movies, recent_rows, wire_ratings
 from catalogflow.plans.normalize import list_names
 from catalogflow.sinks import message_per_row, messages_of_ten
@@ -210,3 +212,29 @@ def sample_fraction(spark, sf):
     return sampling.sample_fraction(
         t.movies(spark, sf).select("item_id", "title"), 0.05, "item_id"
     )
+
+
+@query(
+    """
+    SELECT user_id AS item_id, event_type AS txt, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+      CASE WHEN event_type <> 'error' THEN value END AS amount,
+      CASE WHEN event_type = 'error' THEN 'at,props' ELSE 'amount,at,props' END AS undeclared
+    FROM events
+    """
+)
+def parse_with_rest(spark, sf):
+    """Reviews that carry fields nobody declared, nested ones too: kept, and read by path."""
+    events = t.load(spark, sf, "events")
+    amount = F.when(F.col("event_type") != "error", F.col("value"))
+    known = F.to_json(F.struct(F.col("user_id").alias("item_id"), F.col("event_type").alias("txt"),
+                               amount.alias("amount"), F.col("ts").cast("string").alias("at")))
+    sent = F.concat(F.substring_index(known, "}", 1), F.lit(',"props":'), "props", F.lit("}"))
+    parsed = accepted(parse_reviews(events.select(sent.alias("value")), rest=True))
+    names = F.map_keys(F.variant_get("rest", "$", "map<string,variant>"))
+    return parsed.select(
+        "item_id",
+        "txt",
+        F.try_variant_get("rest", "$.props.k", "bigint").alias("k"),
+        F.try_variant_get("rest", "$.amount", "double").alias("amount"),
+        F.array_join(F.array_sort(names), ",").alias("undeclared"),
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import timedelta
 
 from pyspark.errors import StreamingQueryException
@@ -18,10 +19,11 @@ from catalogflow.session import work_folder
 from catalogflow.sinks import message_per_row, to_replay
 from catalogflow.sources import replay_stream
 from catalogflow.streaming import (
-    Catalogue, GrowingDimensions, averages_after_load, catalogue_job, movies_job, ratings_job, reviews_job, running_averages, running_sentiment,
+    Catalogue, GrowingDimensions, await_all, averages_after_load, catalogue_job, movies_job, ratings_job, reviews_job, running_averages, running_sentiment,
     sentiment_after_load,
 )
 from catalogflow.streaming.history import averages_so_far, sentiment_so_far
+from catalogflow.streaming.progress import ProgressLog, rows_per_query
 from catalogflow.streaming.stateful import current_averages, current_sentiment
 from catalogflow.tables import Tables
 
@@ -406,3 +408,24 @@ def stream_snapshot_keyed(spark, sf):
 def stream_ratings_per_title(spark, sf):
     """Ratings per title kept by the changes of both sides, with late films."""
     return _maintained(spark, sf, late=True).ratings_per_title(spark)
+
+
+@query(
+    "SELECT 'ratings' AS query, CAST(count(*) AS BIGINT) AS rows FROM lineitem UNION ALL "
+    "SELECT 'reviews', CAST(count(*) AS BIGINT) FROM events"
+)
+def stream_progress(spark, sf):
+    """What the queries say they have read of each topic, from the rows their listener wrote."""
+    tables, checkpoints = _tables(spark)
+    progress = ProgressLog(tables.path("progress")).attach(spark)
+    jobs = {"ratings": (ratings_job, t.ratings), "reviews": (reviews_job, t.reviews)}
+    started = [
+        job(_messages(spark, n, rows(spark, sf)), tables, f"{checkpoints}/{n}", name=f"{n}-{tables.root}")
+        for n, (job, rows) in jobs.items()
+    ]
+    await_all(started, each_poll=lambda: progress.write(spark))
+    while not all(progress.ended(str(q.runId)) for q in started):
+        time.sleep(0.1)
+    progress.detach(spark)
+    found = rows_per_query(progress.read(spark))
+    return found.select(F.substring_index("query", "-", 1).alias("query"), "rows")

@@ -52,6 +52,18 @@ def create_table(
     empty.write.mode("ignore").parquet(f"{table}/run={EMPTY_RUN}/batch_id=-1{inner}")
 
 
+def bucket_table(frame: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Replace a catalogue table whose rows lie in buckets by ``key``, sorted.
+
+    Joins on the key read it as it lies: neither a batch nor another bucketed table makes Spark
+    shuffle it. ``path`` puts it outside the warehouse.
+    """
+    writer = frame.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+
+
 def _with_types(frame: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return frame.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
 

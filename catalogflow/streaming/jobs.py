@@ -72,9 +72,16 @@ class _Writer:
 
 
 def ratings_job(
-    messages: DataFrame, tables: Tables, checkpoint: str, trigger: str = ONCE
+    messages: DataFrame,
+    tables: Tables,
+    checkpoint: str,
+    trigger: str = ONCE,
+    name: str | None = None,
 ) -> StreamingQuery:
-    """Ratings topic to ``ratings``, ``rating_totals`` and a quarantine table."""
+    """Ratings topic to ``ratings``, ``rating_totals`` and a quarantine table.
+
+    ``name`` is what the query is called in its progress.
+    """
     tables.create(messages.sparkSession, "ratings", "rating_totals", "quarantine_ratings")
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -84,7 +91,7 @@ def ratings_job(
             out.append(rating_totals(good), "rating_totals")
             out.quarantine(batch, "ratings")
 
-    return run_stream(stamped(parse_ratings(messages)), process, checkpoint, trigger)
+    return run_stream(stamped(parse_ratings(messages)), process, checkpoint, trigger, name=name)
 
 
 def reviews_job(
@@ -94,6 +101,7 @@ def reviews_job(
     trigger: str = ONCE,
     positive: tuple[str, ...] = POSITIVE_WORDS,
     negative: tuple[str, ...] = NEGATIVE_WORDS,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Reviews topic to ``reviews``, ``review_totals`` and a quarantine table."""
     tables.create(messages.sparkSession, "reviews", "review_totals", "quarantine_reviews")
@@ -108,7 +116,7 @@ def reviews_job(
     scored = parse_reviews(messages).withColumn(
         "sentiment", sentiment(F.col("txt"), positive, negative)
     )
-    return run_stream(stamped(scored), process, checkpoint, trigger)
+    return run_stream(stamped(scored), process, checkpoint, trigger, name=name)
 
 
 def _listed_names(films: DataFrame, dimensions: Dimensions) -> DataFrame:
@@ -133,6 +141,7 @@ def movies_job(
     tables: Tables,
     checkpoint: str,
     trigger: str = ONCE,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Movies topic to ``movies``, three bridge tables and the names no dimension knows.
 
@@ -162,4 +171,4 @@ def movies_job(
                 out.append(names.filter("id is null"), "unmatched")
             out.quarantine(batch, "movies")
 
-    return run_stream(stamped(parse_movies(messages)), process, checkpoint, trigger)
+    return run_stream(stamped(parse_movies(messages)), process, checkpoint, trigger, name=name)

@@ -45,15 +45,22 @@ def run_stream(
     return writer.foreachBatch(process).start()
 
 
-def await_all(queries: list[StreamingQuery], poll_seconds: int = 1) -> None:
+def await_all(
+    queries: list[StreamingQuery],
+    poll_seconds: int = 1,
+    each_poll: Callable[[], None] | None = None,
+) -> None:
     """Wait until all queries have ended; if one fails, stop the rest and raise its error.
 
-    Only the given queries are watched, so others of the session do not matter.
+    Only the given queries are watched, so others of the session do not matter. ``each_poll`` is
+    called again and again meanwhile.
     """
     waiting = list(queries)
     try:
         while waiting:
             waiting = [q for q in waiting if not q.awaitTermination(poll_seconds)]
+            if each_poll is not None:
+                each_poll()
     finally:
         for query in queries:
             if query.isActive:

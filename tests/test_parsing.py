@@ -69,3 +69,50 @@ def test_each_message_is_parsed_once(spark):
     plan = accepted(parse_ratings(_messages(spark, "{}").distinct()))
     physical = plan._jdf.queryExecution().executedPlan().toString()
     assert physical.count("from_json(") == 1
+
+
+def test_undeclared_fields_are_kept(spark, rows, tmp_path):
+    """Nested fields, arrays and numbers come back from a stored table; declared ones are not repeated."""
+    texts = [
+        '{"item_id": 1, "txt": "a", "extra": {"deep": [1, {"x": 2.5}]}, "n": 7}',
+        '{"item_id": "2", "txt": "b"}',
+        '{"txt": "no key", "n": 1}',
+        "{oops",
+        "[1, 2]",
+        "",
+    ]
+    messages = spark.createDataFrame([(t,) for t in texts], "value string")
+    parsed = parse_reviews(messages, rest=True)
+    assert rows(parsed.drop("rest")) == rows(parse_reviews(messages))
+    path = str(tmp_path / "t")
+    accepted(parsed).write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert dict(stored.dtypes)["rest"] == "variant"
+    found = stored.select(
+        "item_id",
+        F.try_variant_get("rest", "$.extra.deep[1].x", "double").alias("x"),
+        F.try_variant_get("rest", "$.n", "int").alias("n"),
+        F.to_json("rest").alias("rest"),
+    )
+    assert sorted(map(tuple, found.collect())) == [
+        (1, 2.5, 7, '{"extra":{"deep":[1,{"x":2.5}]},"n":7}'), (2, None, None, "{}"),
+    ]
+
+
+def test_undeclared_fields_of_films_and_ratings(spark, rows):
+    texts = [
+        '[{"item_id": 1, "title": "A", "tags": ["x", "y"]}, {"item_id": 2, "title": "B"}]',
+        '{"item_id": 3, "title": "C", "more": null}', "[]", "{broken", '[{"title": "no key"}, 5]',
+    ]
+    messages = spark.createDataFrame([(t,) for t in texts], "value string")
+    parsed = parse_movies(messages, rest=True)
+    good = accepted(parsed)
+    assert rows(good.drop("rest")) == rows(accepted(parse_movies(messages)))
+    assert sorted((r.item_id, r.rest) for r in good.select("item_id", F.to_json("rest").alias("rest")).collect()) == [
+        (1, '{"tags":["x","y"]}'), (2, "{}"), (3, '{"more":null}'),
+    ]
+    assert parsed.filter("not ok").count() == 3
+    rated = parse_ratings(
+        spark.createDataFrame([('{"item_id": 1, "rating": 2, "via": "app"}',)], "value string"), rest=True
+    )
+    assert rated.select(F.try_variant_get("rest", "$.via", "string")).first()[0] == "app"

@@ -117,3 +117,33 @@ def test_touched_items_filter_early_when_few_and_late_when_many(spark, large_tab
     assert not order()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
     assert order()
+
+
+def test_a_bucketed_dimension_is_not_shuffled(spark, large_tables, tmp_path):
+    """Neither by a lookup nor by the movies job, whatever its size."""
+    from catalogflow.sinks import bucket_table
+    from catalogflow.streaming.jobs import _listed_names
+
+    dimension = _movies(spark).select(
+        F.col("item_id").alias("actor_id"), F.concat(F.lit("n"), "item_id").alias("actor_name")
+    )
+    bucket_table(dimension, "known_actors", "actor_name", 16, str(tmp_path / "actors"))
+    try:
+        known = spark.table("known_actors")
+        names = _hot(spark, 3000).select("item_id", F.concat(F.lit("n"), "item_id").alias("actor_name"))
+        for joined in (lookup(names, known, "actor_name", "actor_id"), unmatched(names, known, "actor_name")):
+            plan = _physical(joined)
+            below = plan[plan.index("SortMergeJoin") :].split("Exchange hashpartitioning(actor_name")
+            assert len(below) == 2 and plan.count("Bucketed: true") == 1
+        films = spark.createDataFrame(
+            [(1, "g", "n1, n2", "d")], "item_id bigint, genres string, starring string, directedBy string"
+        )
+        empty = {n: spark.createDataFrame([], f"{n[:-1]}_id bigint, {n[:-1]}_name string") for n in ("genres", "directors")}
+        found = _listed_names(films, lambda n: known if n == "actors" else empty[n])
+        assert found.filter("kind = 'actors' AND id IS NOT NULL").count() == 2
+        part = _physical(found.filter("kind = 'actors'"))
+        assert "Bucketed: true" in part
+        for line in part.split("\n"):
+            assert not ("Exchange" in line and "actor_id" in line)
+    finally:
+        spark.sql("DROP TABLE known_actors")
