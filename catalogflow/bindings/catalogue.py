@@ -426,14 +426,26 @@ def profile_of_batches(spark, sf):
     key = frame.columns[0]
     for n in (0, 1, 2, 1):
         store.add(frame.filter(F.pmod(F.xxhash64(key), F.lit(3)) == n), n)
-    found = store.read(spark).drop("quantiles")
+    bound = 4 * 1.04 / 2 ** (summaries.HLL_BITS / 2)
+    return _within(store.read(spark).drop("quantiles"), frame, bound)
+
+
+def _within(found, frame, bound: float):
+    """Estimated distinct counts, each replaced by the exact one if it is off by ``bound`` at most."""
     exact = profiling.distinct_counts(frame).withColumnRenamed("distinct_values", "exact")
     off = F.abs(F.col("distinct_values") - F.col("exact"))
-    bound = 4 * 1.04 / 2 ** (summaries.HLL_BITS / 2) * F.col("exact") + 0.5
-    value = F.when(off <= bound, F.col("exact")).otherwise(F.col("distinct_values"))
+    value = F.when(off <= bound * F.col("exact") + 0.5, F.col("exact"))
+    value = value.otherwise(F.col("distinct_values"))
     return found.join(exact, "column").withColumn("distinct_values", value).drop("exact")
 
 
+@query(_profile_sql("non_null", "nulls", "empty", "distinct_values", types=True))
+def table_profile_approximate(spark, sf):
+    """The profile with approximate distinct counts, each within three times its 5 % deviation."""
+    frame = _with_gaps(spark, sf)
+    return _within(profiling.profile(frame, approximate=True), frame, 0.15)
+
+
 @query(
     "SELECT l_suppkey, count(*) AS count FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 "
     "ELSE l_suppkey END AS l_suppkey FROM lineitem) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"

@@ -429,3 +429,22 @@ def stream_progress(spark, sf):
     progress.detach(spark)
     found = rows_per_query(progress.read(spark))
     return found.select(F.substring_index("query", "-", 1).alias("query"), "rows")
+
+
+@query(f"SELECT item_id, {t.AVERAGE} FROM ({t.RATINGS}) GROUP BY item_id")
+def stream_paced(spark, sf):
+    """The ratings offered at a steady pace to a job that is triggered every second."""
+    tables, checkpoints = _tables(spark)
+    ratings = t.ratings(spark, sf)
+    path = work_folder(spark, "topic-ratings")
+    replay("ratings", ratings, path, per_second=max(1, ratings.count() // 4))
+    messages = replay_stream(spark, path, max_files=1)
+    job = ratings_job(messages, tables, f"{checkpoints}/ratings", "1 second")
+    try:
+        job.processAllAvailable()
+    finally:
+        job.stop()
+    if job.exception() is not None:
+        raise job.exception()
+    totals = add_rating_totals(tables.read(spark, "rating_totals"))
+    return totals.select("item_id", average().alias("avgRating"))

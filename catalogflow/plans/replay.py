@@ -21,11 +21,22 @@ def wire_ratings(ratings: DataFrame, truncate: bool = True) -> DataFrame:
     )
 
 
-def replay(topic: str, frame: DataFrame, path: str, per_file: int | None = None) -> None:
+def replay(
+    topic: str,
+    frame: DataFrame,
+    path: str,
+    per_file: int | None = None,
+    per_second: float | None = None,
+    seconds: int = 1,
+) -> None:
     """Write a table as the messages of ``topic`` into a replay folder.
 
-    Ratings and reviews travel one per message, movies ten per message.
+    Ratings and reviews travel one per message, movies ten per message. With ``per_second`` a file
+    holds the messages of one interval of so many ``seconds``: read with ``max_files=1`` by a job
+    that is triggered as often, the topic offers that load.
     """
+    if per_second is not None:
+        per_file = max(1, round(per_second * seconds))
     if topic == "movies":
         messages = messages_of_ten(frame, "item_id")
     elif topic == "ratings":

@@ -61,7 +61,9 @@ class _Writer:
 
     def quarantine(self, batch: DataFrame, topic: str) -> None:
         bad = batch.filter("not ok").withColumn("topic", F.lit(topic))
-        self.append(bad, f"quarantine_{topic}")
+        # Most batches have nothing to put aside; the batch is kept, so looking costs no reading.
+        if not bad.isEmpty():
+            self.append(bad, f"quarantine_{topic}")
 
     def __enter__(self) -> _Writer:
         return self

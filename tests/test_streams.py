@@ -122,6 +122,27 @@ def test_recent_rows_of_other_hours_are_not_read(spark, rows, topic, tables, tmp
         tables.recent(spark, "rating_totals", now)
 
 
+def test_batches_without_bad_messages_leave_no_quarantine(spark, rows, topic, tables, tmp_path):
+    path = topic("ratings", [*DATA, ["{oops"]])
+    _run(spark, ratings_job, path, tables, str(tmp_path / "cp"))
+    written = (tmp_path / "tables" / "quarantine_ratings").glob("run=*/batch_id=*")
+    assert sorted(p.name for p in written) == ["batch_id=-1", "batch_id=3"]
+
+
+def test_a_triggered_job_takes_one_file_each_time(spark, topic, tables, tmp_path):
+    path = topic("ratings", DATA)
+    job = ratings_job(replay_stream(spark, path, max_files=1), tables, str(tmp_path / "cp"), "1 second")
+    try:
+        job.processAllAvailable()
+        topic("ratings", DATA[:1])
+        job.processAllAvailable()
+        starts = {p["batchId"]: p["timestamp"] for p in job.recentProgress if p["numInputRows"]}
+    finally:
+        job.stop()
+    assert tables.read(spark, "ratings").groupBy("batch_id").count().count() == 4
+    assert len(set(starts.values())) == len(starts) == 4
+
+
 def test_compacting_leaves_recent_rows_alone(spark, rows, topic, tables, tmp_path):
     _run(spark, ratings_job, topic("ratings", DATA), tables, str(tmp_path / "cp"))
     for name in ("ratings", "rating_totals"):
