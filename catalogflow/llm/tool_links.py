@@ -3,7 +3,8 @@
 A turn is plain text, an assistant message with calls, or a tool's result. Calls and results are
 joined by conversation and call identifier; messages are put in topological order, so that a
 result follows its call and a call follows what it depends on; arguments are checked against the
-tools' schemas; each message becomes one line of canonical JSON (keys sorted, no spaces).
+tools' schemas; each message becomes one line of canonical JSON (keys sorted, no spaces). A turn
+that cannot be read is plain text and a call that cannot be checked is invalid: none ends the job.
 
 The forms read are ``{"content": ..., "tool_calls": [{"id", "name", "arguments", "depends_on"}]}``
 (also with ``"function": {"name", "arguments"}``, arguments as an object or as JSON text) from an
@@ -13,6 +14,8 @@ assistant, and ``{"tool_call_id": ..., "content": ...}`` from a tool. Anything e
 from __future__ import annotations
 
 import json
+import math
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,8 +26,55 @@ from catalogflow.llm.blocks import map_arrow
 from catalogflow.session import materialize
 
 
+_SURROGATE = re.compile("[\ud800-\udfff]")
+
+
+def _told(text: str) -> str:
+    """Half of a surrogate pair, which no UTF-8 text can hold, is written as its JSON escape."""
+    return _SURROGATE.sub(lambda half: f"\\u{ord(half.group()):04x}", text)
+
+
 def canonical(value) -> str:
-    return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    """Keys sorted by code point, no spaces, every character that UTF-8 can hold as it is."""
+    return _told(json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False))
+
+
+def _finite(text: str) -> float:
+    number = float(text)
+    if not math.isfinite(number):
+        raise ValueError(f"{text} is out of range")
+    return number
+
+
+def _refused(text: str):
+    raise ValueError(f"{text} is no JSON")
+
+
+def parsed(text: str):
+    """The value of a JSON text; what is no JSON (NaN, a number out of range, too deep) raises."""
+    try:
+        return json.loads(text, parse_constant=_refused, parse_float=_finite)
+    except RecursionError:
+        raise ValueError("nested too deeply") from None
+
+
+def _equal(a, b) -> bool:
+    """Equality of JSON values: 1 and 1.0 are equal, 1 and true are not."""
+    if isinstance(a, bool) or isinstance(b, bool):
+        return a is b
+    if isinstance(a, list) and isinstance(b, list):
+        return len(a) == len(b) and all(map(_equal, a, b))
+    if isinstance(a, dict) and isinstance(b, dict):
+        return a.keys() == b.keys() and all(_equal(v, b[k]) for k, v in a.items())
+    return a == b
+
+
+def _is(value, kind) -> bool:
+    if isinstance(value, bool) and kind in ("integer", "number"):
+        return False
+    if kind == "integer" and isinstance(value, float):
+        return value.is_integer()
+    return isinstance(value, _TYPES.get(kind, ()) if isinstance(kind, str) else ())
 
 
 _TYPES = {
@@ -36,21 +86,16 @@ _TYPES = {
 def errors_of(value, schema: dict, at: str = "$") -> list[str]:
     """What in ``value`` breaks the schema.
 
-    Of JSON Schema: type, enum, minimum, maximum, required, properties, additionalProperties
-    (true or false) and items.
+    Of JSON Schema: type (1.0 is an integer; no value is of a type that JSON Schema does not know),
+    enum, minimum, maximum, required, properties, additionalProperties (true or false) and items.
     """
     found = []
     kinds = schema.get("type")
     if kinds is not None:
         kinds = kinds if isinstance(kinds, list) else [kinds]
-        fits = any(
-            isinstance(value, _TYPES[k])
-            and not (isinstance(value, bool) and k in ("integer", "number"))
-            for k in kinds
-        )
-        if not fits:
-            return [f"{at}: not of type {'/'.join(kinds)}"]
-    if "enum" in schema and value not in schema["enum"]:
+        if not any(_is(value, k) for k in kinds):
+            return [f"{at}: not of type {'/'.join(map(str, kinds))}"]
+    if "enum" in schema and not any(_equal(value, v) for v in schema["enum"]):
         found.append(f"{at}: not one of the values")
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         if value < schema.get("minimum", value) or value > schema.get("maximum", value):
@@ -77,19 +122,19 @@ def _call(raw, schemas: dict) -> dict | None:
     found = []
     if isinstance(arguments, str):
         try:
-            arguments = json.loads(arguments)
-        except (ValueError, RecursionError):
+            arguments = parsed(arguments)
+        except ValueError:
             found.append("$: no JSON")
     if not found:
-        schema = schemas.get(name)
+        schema = schemas.get(name) if isinstance(name, str) else None
         found = ["unknown tool"] if schema is None else errors_of(arguments, schema)
     after = raw.get("depends_on") or []
     return {
-        "id": str(raw["id"]),
-        "name": None if name is None else str(name),
+        "id": _told(str(raw["id"])),
+        "name": name if name is None or isinstance(name, str) else canonical(name),
         "arguments": arguments,
-        "after": [str(x) for x in (after if isinstance(after, list) else [after])],
-        "errors": found,
+        "after": [_told(str(x)) for x in (after if isinstance(after, list) else [after])],
+        "errors": [_told(e) for e in found],
     }
 
 
@@ -99,11 +144,13 @@ def read_turn(role: str | None, text: str | None, schemas: dict) -> tuple[dict,
     if role not in ("assistant", "tool") or not text or not text.lstrip().startswith("{"):
         return plain, [], None
     try:
-        value = json.loads(text)
+        value = parsed(text)
+        # What can be read but not written again, being nested too deeply, is plain text as well.
+        canonical(value)
     except (ValueError, RecursionError):
         return plain, [], None
     if role == "tool" and value.get("tool_call_id") is not None:
-        answered = str(value["tool_call_id"])
+        answered = _told(str(value["tool_call_id"]))
         return {"role": role, "tool_call_id": answered, "content": value.get("content")}, [], answered
     if role == "assistant" and isinstance(value.get("tool_calls"), list):
         calls = [c for c in (_call(x, schemas) for x in value["tool_calls"]) if c]

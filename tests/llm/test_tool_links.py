@@ -78,6 +78,41 @@ def test_schemas():
     assert all(tool_links.errors_of(v, schema) for v in bad)
 
 
+def test_no_turn_ends_the_job(spark):
+    deep = '{"tool_calls":' + "[" * 900 + "]" * 900 + "}"
+    texts = [
+        r'{"content":"\ud800","tool_calls":[]}',
+        r'{"tool_calls":[{"id":"\udfff x","name":"find","arguments":{"q":"\ud83d\ude00 \ud83d"}}]}',
+        '{"tool_calls":[{"id":1,"name":["find"],"arguments":{}}]}',
+        '{"tool_calls":[{"id":2,"name":"find","arguments":{"q":NaN}}]}',
+        '{"tool_calls":[{"id":3,"name":"find","arguments":{"q":1e400}}]}',
+        '{"tool_calls":[{"id":4,"name":"find","arguments":"{\\"q\\": -Infinity}"}]}',
+        '{"tool_calls":[{"id":5,"name":"find","arguments":' + "9" * 5000 + "}]}",
+        '{"tool_calls":[5,null,"x",{"id":null},{"name":"find"}]}',
+        deep, '{"tool_calls":{}}', "{" * 3000,
+    ]
+    found = run(spark, [(1, i, "assistant", t) for i, t in enumerate(texts)])
+    assert [r.turn for r in found] == list(range(len(texts)))
+    for r in found:
+        # Every message is JSON, and its own canonical form.
+        value = json.loads(r.message, parse_constant=lambda x: 1 / 0)
+        assert tool_links.canonical(value) == r.message
+    by = {r.turn: r for r in found}
+    assert json.loads(by[0].message)["content"] == "\ud800"
+    assert json.loads(by[1].message)["tool_calls"][0]["arguments"] == {"q": "\U0001f600 \ud83d"}
+    assert [(by[t].n_calls, by[t].n_invalid) for t in (1, 2, 3, 4, 5, 6, 7)] == [
+        (1, 0), (1, 1), (0, 0), (0, 0), (1, 1), (0, 0), (0, 0),
+    ]
+
+
+def test_json_schema_types():
+    errors = tool_links.errors_of
+    assert not errors(1.0, {"type": "integer"}) and errors(1.5, {"type": "integer"})
+    assert errors(True, {"enum": [1]}) and errors(1, {"enum": [True]}) and not errors(1.0, {"enum": [1]})
+    assert errors([True], {"enum": [[1]]}) and not errors({"a": [1, None]}, {"enum": [{"a": [1.0, None]}]})
+    assert errors("x", {"type": "text"}) and not errors("x", {"type": ["text", "string"]})
+
+
 def test_equals_sql(spark):
     name = "op6_tool_links"
     assert compare(spark, connect(SF), QUERIES[name], SQL[name], SF) is None
