@@ -20,9 +20,11 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex
+from tokenizers.normalizers import NFC, Lowercase
+from tokenizers.pre_tokenizers import Split
 
 from catalogflow.llm.blocks import map_texts
 from catalogflow.llm.pair_bpe import byte_characters
@@ -39,17 +41,66 @@ _SPACE, _OTHER, _LETTER, _DIGIT = range(4)
 
 @lru_cache(1)
 def classes() -> np.ndarray:
-    """The class of every code point: white space, letter, digit, other."""
-    points = [*range(0xD800), *range(0xE000, 0x110000)]
-    text = "".join(map(chr, points))
+    """The class of every code point, white space, letter, digit or other, by the library's tables."""
+    points = _points()
+    text = "".join(map(chr, points.tolist()))
     table = np.full(0x110000, _OTHER, np.uint8)
     for pattern, kind in ((r"\s+", _SPACE), (r"\p{L}+", _LETTER), (r"\p{N}+", _DIGIT)):
-        for hit in regex.finditer(pattern, text):
-            a, b = hit.span()
-            table[points[a] : points[b - 1] + 1] = kind
+        runs = Split(Regex(pattern), "removed", invert=True).pre_tokenize_str(text)
+        for _, (a, b) in runs:
+            table[points[a:b]] = kind
     return table
 
 
+def _points() -> np.ndarray:
+    """The code points of the planes that hold or may come to hold letters and marks.
+
+    What lies beyond is private or not assigned: no letter, digit or space, and left as it is.
+    """
+    return np.r_[np.arange(0xD800), np.arange(0xE000, 0x40000), np.arange(0xE0000, 0xE1000)]
+
+
+@lru_cache(1)
+def foreign() -> np.ndarray:
+    """Of every code point whether Python's and the library's tables may treat it differently.
+
+    Those are the code points that Python's tables do not know, and those whose lower case or normal
+    form is another one in the library.
+    """
+    points = _points()
+    table = np.ones(0x110000, bool)
+    table[points] = False
+    for start in range(0, len(points), 4096):
+        part = points[start : start + 4096]
+        text = "\n".join(map(chr, part.tolist()))
+        for own, theirs in (
+            (lower(text), Lowercase().normalize_str(text)),
+            (unicodedata.normalize("NFC", text), NFC().normalize_str(text)),
+        ):
+            if own != theirs:
+                own, theirs = own.split("\n"), theirs.split("\n")
+                if len(own) == len(theirs) == len(part):
+                    table[part] |= [a != b for a, b in zip(own, theirs)]
+                else:
+                    table[part] = True
+        table[part] |= [unicodedata.category(chr(c)) == "Cn" for c in part.tolist()]
+    return table
+
+
+def lower(text: str) -> str:
+    """Lower case by character: no rule looks at a sigma's neighbours."""
+    return text.replace("Σ", "σ").lower()
+
+
+def normal(text: str) -> str:
+    """NFC and lower case, by the library where its tables may say something else than Python's."""
+    if not text.isascii():
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        if foreign()[points].any():
+            return Lowercase().normalize_str(NFC().normalize_str(text))
+    return lower(unicodedata.normalize("NFC", text))
+
+
 class Transducer:
     """The deterministic transducer of a BPE file with a word-end suffix."""
 
@@ -225,8 +276,7 @@ class Transducer:
                 if content in text:
                     special[i] += text.count(content)
                     text = text.replace(content, "\n")
-            # Lower case by character: no rule looks at a sigma's neighbours.
-            clean.append(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+            clean.append(normal(text))
         joined = "\n".join(clean) + "\n"
         points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         kind = classes()[points]

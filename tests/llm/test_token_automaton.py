@@ -20,6 +20,19 @@ def test_counts_equal_the_library(vocabulary, sample):
     assert token_automaton.transducer(path).counts(texts).tolist() == library_counts(path, texts)
 
 
+def test_code_points_are_classed_as_in_the_library(vocabulary):
+    """Alone and beside a letter, a sign and a digit; new code points and unassigned ones too."""
+    path = vocabulary("word_bpe_49k.json")
+    machine, library = token_automaton.transducer(path), tokenizers.Tokenizer.from_file(path)
+    r = random.Random(2)
+    points = [*range(0x20, 0x700), *range(0x1E00, 0x2200), *range(0xA700, 0xA800), 0x18E24, 0x10FFFF]
+    points += r.sample([*range(0xD800), *range(0xE000, 0x110000)], 6000)
+    for before, after in (("", ""), ("a", ""), ("", "z"), ("3", "4"), ("!", "b"), ("Zw", ""), ("\u3010 ", "")):
+        texts = [before + chr(c) + after for c in points]
+        want = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert machine.counts(texts).tolist() == want
+
+
 def test_a_full_table_starts_anew(vocabulary, monkeypatch):
     path = vocabulary("word_bpe_49k.json")
     machine = token_automaton.Transducer(path)
