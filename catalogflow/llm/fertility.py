@@ -27,6 +27,8 @@ BLOCK_BYTES = 6 << 20
 ENTROPY_RUN = 128
 #: Interquartile ranges from the quartile to the end of the band.
 REACH = 4.0
+#: Bands are broadcast if they are no more than this.
+FEW_BANDS = 10_000
 #: Cells of the grid in one unit of a measure.
 GRID = 1000
 #: The least interquartile range taken for each measure.
@@ -271,4 +273,9 @@ def _judged(measured: DataFrame, reach: float = REACH) -> DataFrame:
     for n in LEAST_RANGE:
         inside &= F.col(n).between(F.col(f"{n}_low"), F.col(f"{n}_high"))
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
-    return measured.join(bands(measured, reach), "kind", "left").withColumn("kept", kept)
+    # One row for each language or script. Sent to the documents where they are counted to be few;
+    # else Spark joins them and splits a group that most documents belong to at run time.
+    found = materialize(bands(measured, reach), "bands")
+    if found.count() <= FEW_BANDS:
+        found = F.broadcast(found)
+    return measured.join(found, "kind", "left").withColumn("kept", kept)
