@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogflow.llm import bag_minhash, fertility, line_templates, pair_bpe, wu_manber
 from catalogflow.llm.queries import table, vocabulary
-from catalogflow.session import materialize
+from catalogflow.session import clear_work_folders, materialize, work_folders
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +46,32 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pair_bpe.digests(docs, vocabulary("byte_bpe_50k.json"))
 
 
+# What the stage called last has written on the way to its result, by application.
+_inner: dict[str, set[str]] = {}
+
+
+def _tidy(stage: Stage) -> Stage:
+    """Deletes what the stage before wrote on its way: its result, which ``docs`` reads, is written."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        application = spark.sparkContext.applicationId
+        clear_work_folders(spark, _inner.pop(application, ()))
+        before = set(work_folders(spark))
+        out = stage(spark, docs, sf_dir)
+        _inner[application] = set(work_folders(spark)) - before
+        return out
+
+    return run_stage
+
+
+#: Each stage's result is to be written before the next stage is called, as ``run`` does.
 STAGES = [
-    ("quality_rules", quality),
-    ("line_dedup", line_dedup),
-    ("near_dedup", near_dedup),
-    ("benchmark_decontamination", decontamination),
-    ("encoding", encoding),
+    ("quality_rules", _tidy(quality)),
+    ("line_dedup", _tidy(line_dedup)),
+    ("near_dedup", _tidy(near_dedup)),
+    ("benchmark_decontamination", _tidy(decontamination)),
+    ("encoding", _tidy(encoding)),
 ]
 
 #: SQL cannot express the stages; tests compare them with brute force.
