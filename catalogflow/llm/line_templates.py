@@ -10,7 +10,7 @@ documents is dropped from all of them but the first, which keeps the lines.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogflow.llm.blocks import id_and_text
@@ -26,6 +26,8 @@ MIN_DOCS = 10
 SIMILARITY = 0.7
 #: With so many tokens without a digit, a line is long: it recurs from two documents on.
 LONG_TOKENS = 20
+#: A document that shares so much of its text with one other, line by line, is a copy of it.
+COPY_SHARE = 0.4
 WILD = "<*>"
 
 
@@ -42,7 +44,8 @@ def _lines(rows: DataFrame, min_tokens: int, lead: int) -> DataFrame:
 
     A masked line has one space between tokens and ``<*>`` for each token that holds a digit.
     """
-    raw = rows.select("id", "v", F.posexplode(F.split("text", "\n")).alias("number", "raw"))
+    more = [c for c in ("size",) if c in rows.columns]
+    raw = rows.select("id", "v", *more, F.posexplode(F.split("text", "\n")).alias("number", "raw"))
     odd = F.lit(False)
     for space in ("  ", "\t", "\r", "\x0b", "\x0c"):
         odd |= F.contains("raw", F.lit(space))
@@ -61,6 +64,7 @@ def _lines(rows: DataFrame, min_tokens: int, lead: int) -> DataFrame:
         F.xxhash64("line").alias("variant"),
         "line",
         "n",
+        *more,
     )
 
 
@@ -141,10 +145,25 @@ def repeated(rows: DataFrame, long_tokens: int) -> DataFrame:
     """id, v and number of each long line that a document with a lower id has too, up to digits."""
     fields = F.size(F.split("line", WILD, -1)) - 1
     lines = _lines(rows, long_tokens, LEAD).where(F.col("n") - fields >= long_tokens)
-    lines = materialize(lines.select("id", "v", "number", "leaf", "variant"), "long")
+    more = [F.length("line").alias("chars"), "size"] if "size" in rows.columns else []
+    lines = materialize(lines.select("id", "v", "number", "leaf", "variant", *more), "long")
     first = lines.groupBy("leaf", "variant").agg(F.min("id").alias("keep"), F.max("id").alias("last"))
     first = first.where("keep <> last").drop("last")
-    return lines.join(first, ["leaf", "variant"]).where("id <> keep").select("id", "v", "number")
+    found = lines.join(first, ["leaf", "variant"]).where("id <> keep")
+    return found.select("id", "v", "number", *(["keep", "chars", "size"] if more else []))
+
+
+def not_copied(gone: DataFrame, copy_share: float) -> DataFrame:
+    """The lines of ``gone`` without those of copies: id, v and number.
+
+    A document is taken for a copy of another one if the lines that it would lose because that one
+    keeps them make up ``copy_share`` of its characters.
+    """
+    once = gone.groupBy("id", "v", "number", "size").agg(
+        F.min("keep").alias("keep"), F.max("chars").alias("chars")
+    )
+    lost = F.sum(F.col("chars") + 1).over(Window.partitionBy("id", "v", "keep"))
+    return once.withColumn("lost", lost).where(F.col("lost") < F.col("size") * copy_share).select("id", "v", "number")
 
 
 def drop_lines(
@@ -152,23 +171,32 @@ def drop_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     long_tokens: int | None = None,
+    copy_share: float | None = None,
     **settings,
 ) -> DataFrame:
     """``docs`` without recurring lines: all columns, the text replaced by the lines that stay.
 
     Added columns: ``n_lines`` and ``n_dropped``. A template in ``min_docs`` documents or more
     stays in the one with the lowest id only; so does, if ``long_tokens`` is given, a line of so
-    many tokens without a digit that two documents or more have. Lines of fewer than ``min_tokens`` tokens always
+    many tokens without a digit that two documents or more have. If ``copy_share`` is given, a
+    document that would lose this share of its characters or more to one other document keeps those
+    lines: it is a copy, and cut to what was changed no near-duplicate search would find it. Lines of fewer than ``min_tokens`` tokens always
     stay. A null text stays null (0 lines), an empty one stays empty (1 line). Rows with the
     same id count as one document; rows with a null id lose no line.
     Columns of ``docs`` named like the added ones are replaced.
     """
     rows = id_and_text(docs, id_col, text_col).withColumn("v", F.xxhash64("text"))
+    more = []
+    if copy_share is not None:
+        rows = rows.withColumn("size", F.length("text"))
+        more = ["keep", F.length("line").alias("chars"), "size"]
     near, drop = recurring(rows.where("id is not null"), **settings)
     gone = near.join(drop, ["leaf", "variant"]).where(F.col("id") != F.col("keep"))
-    gone = gone.select("id", "v", "number")
+    gone = gone.select("id", "v", "number", *more)
     if long_tokens is not None:
         gone = gone.unionByName(repeated(rows.where("id is not null"), long_tokens))
+    if copy_share is not None:
+        gone = not_copied(gone, copy_share)
     gone = (
         gone.groupBy(F.col("id").alias("gone_id"), F.col("v").alias("gone_v"))
         .agg(F.collect_set("number").alias("gone"))

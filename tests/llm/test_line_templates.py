@@ -56,3 +56,25 @@ def test_odd_rows(odd, empty):
 def test_main_path_has_no_python(sample):
     plan = line_templates.drop_lines(sample)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_copies_keep_the_lines_they_share(spark):
+    """A copy is left for the near-duplicate search; a shared passage in another text still goes."""
+    words = lambda a, n: " ".join(f"{a}w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(n))
+    lines = [words(c, 30) for c in "abcde"]
+    rows = [
+        (1, "\n".join(lines)),
+        (2, "\n".join([*lines[:4], words("x", 30)])),
+        (3, "\n".join([words(c, 40) for c in "fgh"] + [lines[0]])),
+        (4, "\n".join([*lines, "short"])),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+
+    def left(**settings):
+        kept = line_templates.drop_lines(docs, long_tokens=20, **settings)
+        return {r.doc_id: (r.text.split("\n") if r.text else [], r.n_dropped) for r in kept.collect()}
+
+    assert left()[2] == ([words("x", 30)], 4) and left()[4] == (["short"], 5)
+    found = left(copy_share=0.4)
+    assert {d: found[d][0] for d in (1, 2, 4)} == {d: t.split("\n") for d, t in rows if d != 3}
+    assert found[3] == ([words(c, 40) for c in "fgh"], 1)
