@@ -21,8 +21,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops recurring lines; a document of which nothing is left goes."""
-    kept = line_templates.drop_lines(docs, long_tokens=line_templates.LONG_TOKENS)
+    """Drops recurring lines; a document of which nothing is left goes.
+
+    Copies keep the lines that they share with the first one: the next stage is to find them.
+    """
+    kept = line_templates.drop_lines(
+        docs, long_tokens=line_templates.LONG_TOKENS, copy_share=line_templates.COPY_SHARE
+    )
     lost_all = (F.col("n_dropped") > 0) & (F.trim("text") == "")
     return (
         kept.where(~F.coalesce(lost_all, F.lit(False)))
