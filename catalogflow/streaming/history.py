@@ -1,21 +1,18 @@
 """Running totals in streaming state that begins with the totals of a first load.
 
-One state per item, kept by ``transformWithState``: its initial state is the loaded history, set
-once when the query first starts, so an item's first streamed rating already gives the average over
-loaded and streamed ratings. Rows are summed inside each task before they are shuffled by item, so a
-hot item sends one row per task and batch to the task that holds its state.
+One state per item, kept by a streaming aggregate in the session's state store. The loaded history is
+written beside the checkpoint once, when the query first starts, and read as a second, unthrottled
+stream, so all of it is in the first batch: an item's first streamed rating already gives the average
+over loaded and streamed ratings. Rows are summed inside each task before they are shuffled by item,
+so a hot item sends one row per task and batch to the task that holds its state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from catalogflow import schemas
 from catalogflow.functions import sentiment
@@ -26,62 +23,19 @@ from catalogflow.sources import read_table
 from catalogflow.streaming.runner import ONCE
 from catalogflow.streaming.stateful import keep_versions
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-class _Totals(StatefulProcessor):
-    """Adds amounts to an item's totals and gives the new ones; the state is as wide as a row."""
-
-    def __init__(self, columns: list[str], state: str):
-        self.columns, self.state = columns, state
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.totals = handle.getValueState("totals", self.state)
-
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.totals.update(tuple(initialState[c] for c in self.columns))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self.totals.get()
-        totals = list(known) if known is not None else [0] * len(self.columns)
-        for row in rows:
-            totals = [a + b for a, b in zip(totals, (row[c] for c in self.columns))]
-        self.totals.update(tuple(totals))
-        yield Row(**{"item_id": key[0], **dict(zip(self.columns, totals))})
-
-    def close(self) -> None:
-        pass
-
-
-def _summed(columns: list[str], schema: T.StructType):
-    """One row for each item and Arrow batch of a task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        types = to_arrow_schema(schema)
-        for batch in batches:
-            if batch.num_rows:
-                table = pa.Table.from_batches([batch]).group_by("item_id")
-                sums = table.aggregate([(c, "sum") for c in columns])
-                arrays = [sums["item_id"], *(sums[f"{c}_sum"] for c in columns)]
-                yield from pa.table(
-                    [a.cast(f.type) for a, f in zip(arrays, types)], schema=types
-                ).to_batches()
 
-    return run
+def _begun(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether a query was ever started from ``checkpoint``: its id is written there first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/metadata")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
-@contextmanager
-def _state_store(spark: SparkSession):
-    """A query that starts here gets the state store that arbitrary state needs."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
-    try:
-        yield
-    finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+def _history(loaded: DataFrame, schema: T.StructType, checkpoint: str) -> DataFrame:
+    """``loaded`` as a stream of one batch; a restart finds the files of the first start."""
+    spark, path = loaded.sparkSession, f"{checkpoint.rstrip('/')}_history"
+    if not _begun(spark, checkpoint):
+        loaded.select(*schema.names).write.mode("overwrite").parquet(path)
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def _running(
@@ -95,20 +49,18 @@ def _running(
     """Totals of every touched item after each batch, from ``loaded`` totals on."""
     columns = schema.names[1:]
     create_table(amounts.sparkSession, table, schema)
-    state = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields[1:])
+    sides = [
+        side.withColumn("streamed", F.lit(streamed))
+        for side, streamed in ((_history(loaded, schema, checkpoint), False), (amounts, True))
+    ]
+    sums = [F.sum(c).cast(schema[c].dataType).alias(c) for c in columns]
+    # The first batch touches all loaded items; those no message has named are not shown.
     totals = (
-        amounts.mapInArrow(_summed(columns, schema), schema)
-        .groupBy("item_id")
-        .transformWithState(
-            _Totals(columns, state),
-            outputStructType=schema,
-            outputMode="Update",
-            timeMode="None",
-            initialState=loaded.select(*schema.names).groupBy("item_id"),
-        )
+        sides[0].unionByName(sides[1])
+        .groupBy("item_id").agg(*sums, F.max("streamed").alias("streamed"))
+        .filter("streamed").select(*schema.names)
     )
-    with _state_store(amounts.sparkSession):
-        return keep_versions(totals, table, checkpoint, trigger)
+    return keep_versions(totals, table, checkpoint, trigger)
 
 
 def averages_after_load(
@@ -118,10 +70,12 @@ def averages_after_load(
 
     The history is read when a checkpoint begins, and not again when the query is restarted from it.
     """
+    rating = F.col("rating").try_cast(RATING)
     rated = accepted(parse_ratings(messages)).select(
         "item_id",
-        F.col("rating").try_cast(RATING).cast("decimal(28,4)").alias("rating_sum"),
-        F.lit(1).cast("bigint").alias("rating_count"),
+        rating.cast("decimal(28,4)").alias("rating_sum"),
+        # As in the loaded totals, a null rating does not count.
+        rating.isNotNull().cast("bigint").alias("rating_count"),
     )
     return _running(rated, loaded, schemas.RATING_TOTALS, table, checkpoint, trigger)
 

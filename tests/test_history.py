@@ -103,3 +103,26 @@ def test_the_session_keeps_its_state_store(spark, topic, tmp_path):
     nothing = rating_totals(_ratings(spark, []))
     averages_after_load(messages, nothing, str(tmp_path / "t"), str(tmp_path / "cp")).awaitTermination()
     assert spark.conf.get(name) == before
+
+
+def test_the_state_is_kept_without_python_and_begins_once(spark, rows, topic, tmp_path):
+    """No call into Python for each item and batch; a restart with another history adds nothing."""
+    loaded = rating_totals(_ratings(spark, OLD))
+    table, checkpoint = str(tmp_path / "running"), str(tmp_path / "cp")
+    for n, history in enumerate([loaded, loaded.unionByName(loaded)]):
+        messages = replay_stream(spark, topic(n, _messages(NEW[n])), max_files=1)
+        query = averages_after_load(messages, history, table, checkpoint)
+        query.awaitTermination()
+        operators = [o["operatorName"] for p in query.recentProgress for o in p["stateOperators"]]
+        assert operators and set(operators) == {"stateStoreSave"}
+    found = averages_so_far(spark, table, loaded)
+    assert rows(found) == rows(average_ratings(_ratings(spark, OLD + NEW[0] + NEW[1])))
+
+
+def test_null_ratings_do_not_end_the_query(spark, rows, topic, tmp_path):
+    """They count as little as in the loaded totals, whether an item has others or not."""
+    old, new = [(1, 4.0), (2, None)], [(1, None), (2, 3.0), (3, None), (4, 2.0), (4, None)]
+    loaded, table = rating_totals(_ratings(spark, old)), str(tmp_path / "running")
+    messages = replay_stream(spark, topic(0, _messages(new)))
+    averages_after_load(messages, loaded, table, str(tmp_path / "cp")).awaitTermination()
+    assert rows(averages_so_far(spark, table, loaded)) == rows(average_ratings(_ratings(spark, old + new)))
