@@ -37,8 +37,10 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
 PARITY_BITS = 1024
 BLOCK_BYTES = 3 << 20
+#: Texts signed together, and points made at once for a few of them.
+GROUP, STEPS = 64, 4096
 
-_PRIMES = [pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1 for k in range(SHINGLE)]
+_PRIMES = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1 for k in range(SHINGLE)], np.uint64)
 
 
 def shingle_hashes(words: list[bytes]) -> np.ndarray:
@@ -49,14 +51,14 @@ def shingle_hashes(words: list[bytes]) -> np.ndarray:
     size = min(SHINGLE, len(data))
     n = len(data) - size + 1
     out = np.zeros(n, np.uint64)
-    for k in range(size):
-        out += mixed(data[k : k + n] ^ np.uint64(_PRIMES[k]))
+    for k, each in enumerate(mixed(data ^ _PRIMES[:size, None])):
+        out += each[k : k + n]
     return mixed(out)
 
 
 def _uniform(keys: np.ndarray) -> np.ndarray:
     """Uniform numbers in (0, 1)."""
-    return ((keys >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
+    return ((keys >> np.uint64(11)).view(np.int64).astype(np.float64) + 0.5) / float(1 << 53)
 
 
 _POINT, _GAP, _PLACE = (np.uint64(c) for c in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
@@ -68,52 +70,70 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], m: int) -> np.ndarray:
     todo = np.array([i for i, (h, _) in enumerate(bags) if len(h)], np.int64)
     slack = np.log(m) + 3.0
     while len(todo):
-        doc = np.repeat(np.arange(len(todo)), [len(bags[i][0]) for i in todo])
-        element = np.concatenate([bags[i][0] for i in todo])
-        weight = np.concatenate([bags[i][1] for i in todo]).astype(np.float64)
-        total = np.bincount(doc, weights=weight, minlength=len(todo))
-        limit = (slack / total)[doc]
-        docs, times, points, parts = [], [], [], []
-        low, width = 0.0, 1.0
-        while len(doc):
-            _points(element, weight, doc, limit, low, width, m, (docs, times, points, parts))
-            low, width = low + width, (1.0 if low == 0 else 2 * width)
-            on = weight > low
-            element, weight, doc, limit = element[on], weight[on], doc[on], limit[on]
-        cell = np.concatenate(docs) * m + np.concatenate(parts)
-        order = np.lexsort((np.concatenate(times), cell))
-        cell = cell[order]
-        first = np.r_[True, cell[1:] != cell[:-1]]
-        found = np.zeros(len(todo) * m, np.uint64)
-        filled = np.zeros(len(todo) * m, bool)
-        found[cell[first]] = np.concatenate(points)[order][first]
-        filled[cell[first]] = True
-        whole = filled.reshape(-1, m).all(axis=1)
-        out[todo[whole]] = found.reshape(-1, m)[whole]
+        whole = np.zeros(len(todo), bool)
+        # Short texts have as many points as long ones: memory follows their number.
+        for at in range(0, len(todo), GROUP):
+            group = todo[at : at + GROUP]
+            found, filled = _earliest([bags[i] for i in group], slack, m)
+            out[group], whole[at : at + GROUP] = found, filled.all(axis=1)
         todo, slack = todo[~whole], 2 * slack
     return out
 
 
-def _points(element, weight, doc, limit, low, width, m, into) -> None:
-    """All points of one level up to each document's limit of time, those below the count only."""
+def _earliest(bags, slack: float, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """The earliest point of each component up to the limit of time, and where there is one."""
+    doc = np.repeat(np.arange(len(bags)), [len(h) for h, _ in bags])
+    element = np.concatenate([h for h, _ in bags])
+    weight = np.concatenate([c for _, c in bags]).astype(np.float64)
+    total = np.bincount(doc, weights=weight, minlength=len(bags))
+    limit, cell = (slack / total)[doc], doc * m
+    # One process for each run and level: key, rate, share of its heights below the count.
+    processes = []
+    low, width = 0.0, 1.0
     with np.errstate(over="ignore"):
-        level = mixed(element ^ mixed(np.full(1, int(low * 2 + 1), np.uint64)))
-        time = np.zeros(len(element))
-        step = np.uint64(0)
-        while len(level):
-            step += np.uint64(1)
-            point = mixed(level + step * _POINT)
-            time = time - np.log(_uniform(mixed(point ^ _GAP))) / (width * m)
-            on = time <= limit
-            level, weight, doc, limit, time, point = (
-                x[on] for x in (level, weight, doc, limit, time, point)
-            )
-            place = mixed(point ^ _PLACE)
-            part = (place % np.uint64(m)).astype(np.int64)
-            height = low + width * _uniform(mixed(place))
-            below = height < weight
-            for target, values in zip(into, (doc, time, point, part)):
-                target.append(values[below])
+        while len(element):
+            key = mixed(element ^ mixed(np.full(1, int(low * 2 + 1), np.uint64)))
+            share = np.minimum((weight - low) / width, 1.0)
+            processes.append((key, np.full(len(key), width * m), share, cell, limit))
+            low, width = low + width, (1.0 if low == 0 else 2 * width)
+            on = np.flatnonzero(weight > low)
+            element, weight, cell, limit = element[on], weight[on], cell[on], limit[on]
+        cell, time, point = _points(*map(np.concatenate, zip(*processes)), m)
+    first = np.full(len(bags) * m, np.inf)
+    np.minimum.at(first, cell, time)
+    on = np.flatnonzero(time == first[cell])
+    found = np.zeros(len(bags) * m, np.uint64)
+    found[cell[on]] = point[on]
+    return found.reshape(-1, m), np.isfinite(first).reshape(-1, m)
+
+
+def _points(key, rate, share, cell, limit, m: int) -> tuple[np.ndarray, ...]:
+    """Cell, time and hash of the points up to each process's limit, those below the count only.
+
+    Few processes take many steps at once, so that an array is never much shorter than ``STEPS``
+    while there are points left: a short text has as many points as a long one.
+    """
+    out = []
+    time, step = np.zeros(len(key)), 0
+    while len(key):
+        many = min(STEPS // len(key), int(((limit - time) * rate).max()) + 2)
+        steps = np.arange(step + 1, step + 1 + max(many, 1), dtype=np.uint64)
+        step += len(steps)
+        point = mixed(key + (steps * _POINT)[:, None])
+        times = np.log(_uniform(mixed(point ^ _GAP))) / -rate
+        times[0] += time
+        np.add.accumulate(times, axis=0, out=times)
+        at = np.flatnonzero(times <= limit)
+        of, point = at % len(key), point.ravel()[at]
+        place = mixed(point ^ _PLACE)
+        # The remainder by m: dividing by one number is much faster than ``%``.
+        part = (place - place // np.uint64(m) * np.uint64(m)).astype(np.int64)
+        below = np.flatnonzero(_uniform(mixed(place)) < share[of])
+        out.append((cell[of[below]] + part[below], times.ravel()[at[below]], point[below]))
+        time = times[-1]
+        on = np.flatnonzero(time <= limit)
+        key, rate, share, cell, limit, time = (x[on] for x in (key, rate, share, cell, limit, time))
+    return tuple(map(np.concatenate, zip(*out)))
 
 
 def parities(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -141,10 +161,7 @@ def _signed(rows: DataFrame, id_type: T.DataType) -> DataFrame:
                 part = batch.slice(first, len(texts))
                 words = [words_of(t) for t in texts]
                 bags = [np.unique(shingle_hashes(w), return_counts=True) for w in words]
-                # Short texts have as many points as long ones: memory follows their number.
-                found = np.concatenate(
-                    [signatures(bags[i : i + 256], BANDS * ROWS) for i in range(0, len(bags), 256)]
-                ).reshape(len(words), BANDS, ROWS)
+                found = signatures(bags, BANDS * ROWS).reshape(len(words), BANDS, ROWS)
                 band = np.zeros((len(words), BANDS), np.uint64)
                 for k in range(ROWS):
                     band = mixed(band * np.uint64(0x9E3779B97F4A7C15) + found[:, :, k])

@@ -1,3 +1,4 @@
+import math
 import random
 from itertools import combinations
 
@@ -100,6 +101,57 @@ def test_signatures_estimate_similarity():
     assert abs((s[0] == s[1]).mean() - least / most) < 0.035
 
 
+def plain_signature(hashes, counts, m):
+    """Point by point in Python integers: the earliest point of each component."""
+    whole = (1 << 64) - 1
+
+    def mix(z):
+        z = ((z ^ (z >> 30)) * 0xBF58476D1CE4E5B9) & whole
+        z = ((z ^ (z >> 27)) * 0x94D049BB133111EB) & whole
+        return z ^ (z >> 31)
+
+    uniform = lambda z: ((z >> 11) + 0.5) / (1 << 53)
+    limit, best = 100 / sum(counts), {}
+    for element, count in zip(hashes, counts):
+        low, width = 0, 1
+        while low < count:
+            level, time, step = mix(element ^ mix(2 * low + 1)), 0.0, 0
+            while True:
+                step += 1
+                point = mix((level + step * int(bag_minhash._POINT)) & whole)
+                time -= math.log(uniform(mix(point ^ int(bag_minhash._GAP)))) / (width * m)
+                if time > limit:
+                    break
+                place = mix(point ^ int(bag_minhash._PLACE))
+                if low + width * uniform(mix(place)) < count:
+                    best[place % m] = min(best.get(place % m, (math.inf, 0)), (time, point))
+            low, width = low + width, width if low == 0 else 2 * width
+    return [best[i][1] for i in range(m)]
+
+
+def odd_bags():
+    """More bags than one group: a single run, few runs, none, many, and high counts."""
+    r = np.random.default_rng(3)
+    sizes = [1, 2, 0, 5, 40, 600, 3] * 12
+    return [(r.integers(0, 2**63, n).astype(np.uint64), r.integers(1, 1 + 9 ** (i % 5), n)) for i, n in enumerate(sizes)]
+
+
+def test_signatures_equal_the_plain_ones():
+    bags = odd_bags()
+    found = bag_minhash.signatures(bags, 24)
+    for got, (hashes, counts) in zip(found.tolist(), bags):
+        want = plain_signature(hashes.tolist(), counts.tolist(), 24) if len(hashes) else [0] * 24
+        assert got == want
+
+
+def test_short_texts_take_few_array_steps(monkeypatch):
+    # A run of a short text has hundreds of points; made one after another, most arrays hold a few.
+    calls, mixed = [], bag_minhash.mixed
+    monkeypatch.setattr(bag_minhash, "mixed", lambda keys: (calls.append(1), mixed(keys))[1])
+    bag_minhash.signatures([(np.arange(1, n + 1, dtype=np.uint64), np.ones(n, np.int64)) for n in (1, 3, 900)], 192)
+    assert len(calls) < 200
+
+
 def test_keep_first(odd, empty, spark):
     kept = bag_minhash.keep_first(odd)
     assert kept.columns == odd.columns
