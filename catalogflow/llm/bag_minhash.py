@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalogflow.llm.blocks import blocks_of, id_and_text, map_arrow, mixed, words_of
+from catalogflow.llm.blocks import blocks_of, id_and_text, map_arrow, mixed, ragged, words_of
 from catalogflow.llm.components import components
 from catalogflow.session import materialize
 
@@ -137,9 +137,10 @@ def _points(key, rate, share, cell, limit, m: int) -> tuple[np.ndarray, ...]:
 
 
 def parities(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The parity of the counts in each of ``PARITY_BITS`` groups of runs."""
-    odd = (hashes[counts % 2 == 1] >> np.uint64(8)) % np.uint64(PARITY_BITS)
-    bits = np.bincount(odd.astype(np.int64), minlength=PARITY_BITS) & 1
+    """The parity of the runs in each of ``PARITY_BITS`` groups, a run's occurrences dealt one by one."""
+    which = ragged(np.zeros(len(counts), np.int64), counts).astype(np.uint64)
+    odd = mixed(np.repeat(hashes, counts) + which * _POINT) >> np.uint64(8)
+    bits = np.bincount((odd % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view("<i8")
 
 

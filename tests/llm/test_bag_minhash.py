@@ -152,6 +152,19 @@ def test_short_texts_take_few_array_steps(monkeypatch):
     assert len(calls) < 200
 
 
+def test_parities_see_every_occurrence_and_stay_a_bound():
+    unequal = lambda x, y: int(np.unpackbits((bag_minhash.parities(*x) ^ bag_minhash.parities(*y)).view(np.uint8)).sum())
+    r = np.random.default_rng(5)
+    runs = r.integers(0, 2**63, 60).astype(np.uint64)
+    # Counts that differ by two have equal parities as wholes.
+    assert unequal((runs, np.full(60, 1)), (runs, np.full(60, 3))) > 90
+    for n in (0, 1, 60):
+        a, b = r.integers(1, 9, n), r.integers(1, 9, n)
+        assert unequal((runs[:n], a), (runs[:n], b)) <= np.abs(a - b).sum()
+        assert unequal((runs[:n], a), (runs[:0], a[:0])) <= a.sum()
+        assert unequal((runs[:n], a), (runs[:n][::-1], a[::-1])) == 0
+
+
 def test_keep_first(odd, empty, spark):
     kept = bag_minhash.keep_first(odd)
     assert kept.columns == odd.columns
