@@ -1,4 +1,6 @@
+import os
 import sys
+import time
 from pathlib import Path
 
 import pytest
@@ -32,3 +34,17 @@ def rows():
         return sorted(map(tuple, picked.collect()), key=repr)
 
     return collect
+
+
+@pytest.fixture(autouse=True)
+def rising_times(monkeypatch):
+    """Files written one after another differ in time: Spark's file source orders by milliseconds."""
+    write, last = Path.write_text, [0]
+
+    def stepped(path, *args, **kwargs):
+        size = write(path, *args, **kwargs)
+        last[0] = max(time.time_ns() // 10**6, last[0] + 1)
+        os.utime(path, ns=(last[0] * 10**6, last[0] * 10**6))
+        return size
+
+    monkeypatch.setattr(Path, "write_text", stepped)
